@@ -75,8 +75,12 @@ def accounts_with_customer(stg_accounts: DataFrame, stg_customers: DataFrame,
 
 
 def city_lookup(cities: DataFrame) -> DataFrame:
-    """The city seed keyed by name, broadcast when its size is proven small."""
-    return maybe_broadcast(cities.select(F.col("city_name").alias("_city")).distinct())
+    """The city seed keyed by name, broadcast when its size is proven small.
+
+    City names are unique in the seed (checked by the data-quality suite), so
+    the lookup never multiplies rows.
+    """
+    return maybe_broadcast(cities.select(F.col("city_name").alias("_city")))
 
 
 def transaction_flags(abs_amount, merchant_category, fraud_score, matched_city) -> list:

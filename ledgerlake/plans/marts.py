@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands as B
+from ..functions import scalars as S
 from ..operators import aggregates as A
 from .intermediate import accounts_with_customer, city_lookup, int_transactions_enriched
 
@@ -77,16 +78,38 @@ CUSTOMER_COLS = ("customer_id", "full_name", "date_of_birth", "email", "phone",
                  "age_years", "is_kyc_verified")
 
 
-def dim_customers(stg_customers: DataFrame, int_accounts: DataFrame, int_loans: DataFrame) -> DataFrame:
+def account_measures(stg_accounts: DataFrame) -> DataFrame:
+    """The enriched-account columns the account summary reads (all account-level)."""
+    return stg_accounts.select(
+        "customer_id", "account_id", "is_active", "account_type", "balance", "open_date",
+        S.utilisation_pct("balance", "credit_limit").alias("credit_utilisation_pct"))
+
+
+def loan_measures(stg_loans: DataFrame) -> DataFrame:
+    """The enriched-loan columns the loan summary reads (all loan-level)."""
+    return stg_loans.select(
+        "customer_id", "application_id", "is_approved", "is_declined", "is_pending",
+        "approved_amount", "credit_score_band", "debt_to_income",
+        B.is_high_risk_loan("credit_score", "debt_to_income").alias("is_high_risk"))
+
+
+def dim_customers(stg_customers: DataFrame, stg_accounts: DataFrame, stg_loans: DataFrame) -> DataFrame:
     """One row per staged customer with account and loan summaries.
 
+    The reference summarises the enriched accounts and loans, i.e. after a
+    left join to customers.  That join is 1:1 (customers are unique) and the
+    summaries read only account / loan columns, so they are aggregated from
+    the staged rows directly: the partial aggregation then runs before any
+    shuffle, and a customer holding a huge share of the accounts costs one
+    row per input partition instead of one oversized join task.
+
     The reference also joins a transaction summary that it never projects;
     that join cannot change the rows (1:1 on the key) and is left out, which
     is what Catalyst does with it anyway.
     """
     c = stg_customers.select(*CUSTOMER_COLS).alias("c")
-    a = account_summary(int_accounts).alias("a")
-    l = loan_summary(int_loans).alias("l")
+    a = account_summary(account_measures(stg_accounts)).alias("a")
+    l = loan_summary(loan_measures(stg_loans)).alias("l")
     j = (c.join(a, F.col("c.customer_id") == F.col("a.customer_id"), "left")
           .join(l, F.col("c.customer_id") == F.col("l.customer_id"), "left"))
 

@@ -24,8 +24,7 @@ def build_all(raw: dict[str, DataFrame], cities: DataFrame, as_of=None) -> dict[
     m["int_loans_enriched"] = I.int_loans_enriched(m["stg_loans"], m["stg_customers"])
     m["int_transactions_enriched"] = I.int_transactions_enriched(
         m["stg_accounts"], m["stg_customers"], m["stg_transactions"], cities)
-    m["dim_customers"] = M.dim_customers(m["stg_customers"], m["int_accounts_enriched"],
-                                         m["int_loans_enriched"])
+    m["dim_customers"] = M.dim_customers(m["stg_customers"], m["stg_accounts"], m["stg_loans"])
     m["fct_transactions"] = M.fct_transactions(m["stg_transactions"], m["stg_accounts"],
                                                m["stg_customers"], cities)
     return m
