@@ -23,10 +23,10 @@ from .operators import aggregates as A
 from .operators import incremental as INC
 from .operators import quality as Q
 from .operators.dedup import distinct_rows, keep_latest
-from .operators.joins import maybe_broadcast
+from .operators.joins import BROADCAST_MAX_ROWS, bounded_rows
 from .plans import intermediate as I
 from .plans import marts as M
-from .plans.pipeline import build_all
+from .plans.pipeline import Models
 from .sources import sinks
 from .sources import testviews as tv
 from .sources.raw import read_seed
@@ -41,8 +41,10 @@ DEDUP_ORDER = {"customers": ("customer_id", "last_modified_date"),
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project a raw frame onto its declared schema (names, order, types)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                       for f in schemas.RAW_SCHEMAS[table].fields])
+    target = schemas.RAW_SCHEMAS[table]
+    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in target.fields]:
+        return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
 
 class Inputs:
@@ -53,15 +55,27 @@ class Inputs:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return {n: conform(tv.raw_table(self.spark, self.sf_dir, n), n) for n in tv.RAW_NAMES}
+        sources = tv.SourceTables(self.spark, self.sf_dir)
+        outer = self
+
+        class _Raw(dict):
+            def __missing__(self, name):
+                df = conform(tv.raw_table(outer.spark, outer.sf_dir, name, sources), name)
+                self[name] = df
+                return df
+
+            def items(self):
+                return [(n, self[n]) for n in tv.RAW_NAMES]
+
+        return _Raw()
 
     @cached_property
     def cities(self) -> DataFrame:
         return read_seed(self.spark)
 
     @cached_property
-    def m(self) -> dict[str, DataFrame]:
-        return build_all(self.raw, self.cities, AS_OF)
+    def m(self) -> Models:
+        return Models(self.raw, self.cities, AS_OF)
 
 
 REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -101,7 +115,7 @@ def _write_mart_roundtrip(x: Inputs) -> DataFrame:
 
 @query("table_row_counts")
 def _table_row_counts(x: Inputs) -> DataFrame:
-    return sinks.row_counts({**x.raw, "nz_cities": x.cities})
+    return sinks.row_counts({**{n: x.raw[n] for n in tv.RAW_NAMES}, "nz_cities": x.cities})
 
 
 # ---------------------------------------------------------------- incremental
@@ -395,7 +409,8 @@ def _join_account_transactions(x):
 @query("join_city_lookup")
 def _join_city_lookup(x):
     t = x.m["stg_transactions"]
-    seed = maybe_broadcast(x.cities.select(F.col("city_name").alias("_city"), "country", "region"))
+    seed = x.cities.select(F.col("city_name").alias("_city"), "country", "region")
+    seed = F.broadcast(seed) if bounded_rows(x.cities, BROADCAST_MAX_ROWS) else seed
     j = t.join(seed, F.col("merchant_city") == F.col("_city"), "left")
     return j.select("transaction_id", "merchant_city", F.col("_city").alias("city_name"), "country", "region")
 

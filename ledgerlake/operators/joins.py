@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,11 +13,25 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+# Row counts known from how a frame was built (e.g. a fixed list of literal rows).
+_KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def mark_row_count(df: DataFrame, rows: int) -> DataFrame:
+    """Record that ``df`` holds exactly ``rows`` rows (known by construction)."""
+    _KNOWN_ROWS[df] = rows
+    return df
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check itself stays cheap.
+    Uses the recorded count when the frame's size is known by construction;
+    otherwise reads at most ``max_rows + 1`` rows, so the check stays cheap.
     """
+    known = _KNOWN_ROWS.get(df)
+    if known is not None:
+        return known <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 

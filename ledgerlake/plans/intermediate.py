@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands as B
 from ..functions import scalars as S
-from ..operators.joins import left_lookup, maybe_broadcast
+from ..operators.joins import BROADCAST_MAX_ROWS, bounded_rows, left_lookup
 
 CUSTOMER_ATTRS = ("customer_name", "customer_segment", "kyc_status")
 
@@ -80,7 +80,8 @@ def city_lookup(cities: DataFrame) -> DataFrame:
     City names are unique in the seed (checked by the data-quality suite), so
     the lookup never multiplies rows.
     """
-    return maybe_broadcast(cities.select(F.col("city_name").alias("_city")))
+    keys = cities.select(F.col("city_name").alias("_city"))
+    return F.broadcast(keys) if bounded_rows(cities, BROADCAST_MAX_ROWS) else keys
 
 
 def transaction_flags(abs_amount, merchant_category, fraud_score, matched_city) -> list:

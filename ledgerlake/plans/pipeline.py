@@ -13,18 +13,39 @@ MODEL_ORDER = ("stg_customers", "stg_accounts", "stg_loans", "stg_transactions",
                "dim_customers", "fct_transactions")
 
 
+class Models(dict):
+    """The model DAG, each model planned on first use from its parents.
+
+    ``raw`` maps customers/accounts/transactions/loan_applications to DataFrames.
+    """
+
+    def __init__(self, raw: dict[str, DataFrame], cities: DataFrame, as_of=None):
+        super().__init__()
+        self.raw, self.cities, self.as_of = raw, cities, as_of
+
+    def __missing__(self, name: str) -> DataFrame:
+        r, m = self.raw, self
+        build = {
+            "stg_customers": lambda: S.stg_customers(r["customers"], self.as_of),
+            "stg_accounts": lambda: S.stg_accounts(r["accounts"], self.as_of),
+            "stg_loans": lambda: S.stg_loans(r["loan_applications"]),
+            "stg_transactions": lambda: S.stg_transactions(r["transactions"]),
+            "int_accounts_enriched": lambda: I.int_accounts_enriched(m["stg_accounts"], m["stg_customers"]),
+            "int_loans_enriched": lambda: I.int_loans_enriched(m["stg_loans"], m["stg_customers"]),
+            "int_transactions_enriched": lambda: I.int_transactions_enriched(
+                m["stg_accounts"], m["stg_customers"], m["stg_transactions"], self.cities),
+            "dim_customers": lambda: M.dim_customers(m["stg_customers"], m["stg_accounts"], m["stg_loans"]),
+            "fct_transactions": lambda: M.fct_transactions(m["stg_transactions"], m["stg_accounts"],
+                                                           m["stg_customers"], self.cities),
+        }
+        if name not in build:
+            raise KeyError(name)
+        df = build[name]()
+        self[name] = df
+        return df
+
+
 def build_all(raw: dict[str, DataFrame], cities: DataFrame, as_of=None) -> dict[str, DataFrame]:
-    """``raw`` maps customers/accounts/transactions/loan_applications to DataFrames."""
-    m: dict[str, DataFrame] = {}
-    m["stg_customers"] = S.stg_customers(raw["customers"], as_of)
-    m["stg_accounts"] = S.stg_accounts(raw["accounts"], as_of)
-    m["stg_loans"] = S.stg_loans(raw["loan_applications"])
-    m["stg_transactions"] = S.stg_transactions(raw["transactions"])
-    m["int_accounts_enriched"] = I.int_accounts_enriched(m["stg_accounts"], m["stg_customers"])
-    m["int_loans_enriched"] = I.int_loans_enriched(m["stg_loans"], m["stg_customers"])
-    m["int_transactions_enriched"] = I.int_transactions_enriched(
-        m["stg_accounts"], m["stg_customers"], m["stg_transactions"], cities)
-    m["dim_customers"] = M.dim_customers(m["stg_customers"], m["stg_accounts"], m["stg_loans"])
-    m["fct_transactions"] = M.fct_transactions(m["stg_transactions"], m["stg_accounts"],
-                                               m["stg_customers"], cities)
-    return m
+    """Every model, planned lazily (nothing runs until a model is written or read)."""
+    models = Models(raw, cities, as_of)
+    return {name: models[name] for name in MODEL_ORDER}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.joins import mark_row_count
 
 # The city seed (city_name, country, region), in source order.
 NZ_CITIES = [
@@ -37,6 +38,9 @@ def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -
 def read_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The city lookup: a headed CSV on shared storage, or the built-in rows."""
     if path is None:
-        return spark.createDataFrame(NZ_CITIES, schemas.CITIES)
+        # Built JVM-side from literals: no Python worker is needed to scan it.
+        rows = [F.struct(*[F.lit(v).alias(f.name) for v, f in zip(r, schemas.CITIES.fields)])
+                for r in NZ_CITIES]
+        return mark_row_count(spark.range(1).select(F.inline(F.array(*rows))), len(NZ_CITIES))
     return (spark.read.option("header", True).option("mode", "FAILFAST")
             .schema(schemas.CITIES).csv(path))

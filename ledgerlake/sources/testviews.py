@@ -251,17 +251,29 @@ def ctes(names, dialect: str) -> list[tuple[str, str]]:
     return out
 
 
-def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in SOURCE_TABLES}
+class SourceTables(dict):
+    """Driver tables of one data directory, each read (and its footer parsed) once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    def __missing__(self, table: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        self[table] = df
+        return df
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str,
+              sources: SourceTables | None = None) -> DataFrame:
     """One banking raw table as a lazily planned DataFrame."""
+    sources = sources if sources is not None else SourceTables(spark, sf_dir)
     parts = ctes([name], "spark")
     text = "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in parts) + f"\nSELECT * FROM {name}"
-    used = {t: df for t, df in load_sources(spark, sf_dir).items() if "{" + t + "}" in text}
+    used = {t: sources[t] for t in SOURCE_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: raw_table(spark, sf_dir, n) for n in RAW_NAMES + ("nz_cities",)}
+    sources = SourceTables(spark, sf_dir)
+    return {n: raw_table(spark, sf_dir, n, sources) for n in RAW_NAMES + ("nz_cities",)}
