@@ -41,10 +41,11 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str | None = None,
                 cols: Sequence[str] | None = None, broadcast: bool = False,
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                max_rows: int = BROADCAST_MAX_ROWS, keep_key: str | None = None) -> DataFrame:
     """``df LEFT JOIN dim ON df.left_on = dim.right_on``, keeping ``cols`` of dim.
 
-    The right key is dropped from the output; every row of ``df`` survives.
+    Every row of ``df`` survives.  The dim key is dropped unless ``keep_key``
+    names an output column for it (NULL there marks a lookup miss).
     """
     right_on = right_on or left_on
     keep = [c for c in (cols or dim.columns) if c != right_on]
@@ -52,4 +53,5 @@ def left_lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str | Non
     small = dim.select(F.col(right_on).alias(key_alias), *keep)
     if broadcast:
         small = maybe_broadcast(small, max_rows)
-    return df.join(small, df[left_on] == small[key_alias], "left").drop(key_alias)
+    joined = df.join(small, df[left_on] == small[key_alias], "left")
+    return joined.withColumnRenamed(key_alias, keep_key) if keep_key else joined.drop(key_alias)

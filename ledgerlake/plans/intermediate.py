@@ -146,9 +146,7 @@ def int_transactions_enriched_literal(stg_accounts: DataFrame, stg_customers: Da
     ac = accounts_with_customer(stg_accounts, stg_customers)
     t = stg_transactions.select(*TX_COLS, "merchant_category", "fraud_score", "merchant_city")
     j = ac.alias("a").join(t.alias("t"), F.col("a.account_id") == F.col("t.account_id"), "left")
-    j = left_lookup(j, cities.select("city_name"), "merchant_city", "city_name",
-                    cols=["city_name"], broadcast=True)
-    j = j.withColumn("_city", F.col("city_name")).drop("city_name")
+    j = left_lookup(j, cities, "merchant_city", "city_name", cols=[], broadcast=True, keep_key="_city")
     return j.select(
         *[F.col(f"t.{n}").alias(n) for n in TX_COLS],
         *[F.col(f"a.{n}").alias(n) for n in ACCOUNT_OUT],
