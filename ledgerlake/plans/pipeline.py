@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 
 from . import intermediate as I
 from . import marts as M
@@ -49,3 +51,33 @@ def build_all(raw: dict[str, DataFrame], cities: DataFrame, as_of=None) -> dict[
     """Every model, planned lazily (nothing runs until a model is written or read)."""
     models = Models(raw, cities, as_of)
     return {name: models[name] for name in MODEL_ORDER}
+
+
+STAGING = ("stg_customers", "stg_accounts", "stg_loans", "stg_transactions")
+MART_PARTITIONS = {"fct_transactions": ("transaction_year", "transaction_month")}
+
+
+def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], cities: DataFrame, out_dir: str,
+                 as_of=None, materialize_staging: bool = True) -> dict[str, DataFrame]:
+    """Build and write the marts (full overwrite), returning them read back.
+
+    ``out_dir`` must be storage every executor shares (e.g. the folder named
+    by ``spark.checkpoint.dir``).  With ``materialize_staging`` the staged
+    tables are written first and the marts are planned from those files:
+    the dedup shuffles run once per run instead of once per mart, and a lost
+    executor recomputes from the written staging rather than from raw.
+    """
+    from ..sources.sinks import read_back, write_table
+
+    staged = Models(raw, cities, as_of)
+    if materialize_staging:
+        for name in STAGING:
+            path = os.path.join(out_dir, "staging", name)
+            write_table(staged[name], path)
+            staged[name] = read_back(spark, path, staged[name])
+    out = {}
+    for name in ("dim_customers", "fct_transactions"):
+        path = os.path.join(out_dir, "mart", name)
+        write_table(staged[name], path, partition_by=MART_PARTITIONS.get(name, ()))
+        out[name] = read_back(spark, path, staged[name])
+    return out

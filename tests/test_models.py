@@ -157,3 +157,16 @@ def test_invariants_at_sf001(sf_models):
     matched = m["stg_transactions"].join(m["stg_accounts"].select("account_id"), "account_id").count()
     no_tx = m["stg_accounts"].join(m["stg_transactions"].select("account_id"), "account_id", "left_anti").count()
     assert m["int_transactions_enriched"].count() == matched + no_tx
+
+
+def test_run_pipeline_writes_marts_equal_to_lazy_models(spark, sf_models):
+    import os
+    from ledgerlake.config import shared_dir
+    from ledgerlake.plans.pipeline import run_pipeline
+    out = os.path.join(shared_dir(spark), "pipeline_test")
+    marts = run_pipeline(spark, {n: sf_models.raw[n] for n in ("customers", "accounts", "transactions",
+                                                              "loan_applications")},
+                         sf_models.cities, out, AS_OF)
+    for name in ("dim_customers", "fct_transactions"):
+        assert marts[name].columns == sf_models.m[name].columns
+        assert rows_set(marts[name]) == rows_set(sf_models.m[name])
