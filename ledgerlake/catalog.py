@@ -15,7 +15,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import schemas
 from .config import shared_dir
 from .functions import bands as B
 from .functions import scalars as S
@@ -29,7 +28,7 @@ from .plans import marts as M
 from .plans.pipeline import Models
 from .sources import sinks
 from .sources import testviews as tv
-from .sources.raw import read_seed
+from .sources.raw import conform, read_seed
 
 AS_OF = "2002-01-01"
 RUN_TS = "2002-01-01 06:00:00"
@@ -39,14 +38,6 @@ DEDUP_ORDER = {"customers": ("customer_id", "last_modified_date"),
                "transactions": ("transaction_id", "transaction_date")}
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project a raw frame onto its declared schema (names, order, types)."""
-    target = schemas.RAW_SCHEMAS[table]
-    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in target.fields]:
-        return df
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
-
-
 class Inputs:
     """Raw tables and models for one data directory (all lazy)."""
 

@@ -26,13 +26,22 @@ NZ_CITIES = [
 def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
     """Scan one raw table with its declared schema (no inference).
 
-    Columns are cast to the declared types so that a source written with
-    narrower ids or plain timestamps still yields the canonical schema;
-    projections and filters applied later still reach the scan.
+    Only columns whose stored type differs from the declared one are cast
+    (e.g. 32-bit ids widened to 64 bits); the others stay plain column
+    references, so filters on them reach the parquet scan as pushed filters
+    and unused columns are pruned from the read schema.
     """
+    return conform(spark.read.format(fmt).load(path), table)
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """Project ``df`` onto the declared schema of ``table`` (names, order, types)."""
     schema = schemas.RAW_SCHEMAS[table]
-    df = spark.read.format(fmt).load(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    stored = {f.name: f.dataType for f in df.schema.fields}
+    if [(f.name, f.dataType) for f in schema.fields] == list(stored.items()):
+        return df
+    return df.select(*[F.col(f.name) if stored.get(f.name) == f.dataType
+                       else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_seed(spark: SparkSession, path: str | None = None) -> DataFrame:

@@ -87,3 +87,20 @@ def test_seed_csv_and_builtin_rows_agree(spark):
     assert sorted(map(tuple, csv.collect())) == sorted(map(tuple, read_seed(spark).collect())) == sorted(NZ_CITIES)
     assert bounded_rows(csv, 10) and not bounded_rows(csv, 9)
     assert bounded_rows(read_seed(spark), 10)
+
+
+def test_read_raw_schema_and_pushdown(spark):
+    from ledgerlake import schemas
+    from ledgerlake.catalog import Inputs
+    from ledgerlake.sources.raw import read_raw
+    path = os.path.join(shared_dir(spark), "raw_accounts_test")
+    raw = Inputs(spark, "/root/testdata/sf0.001").raw["accounts"]
+    # store ids as 32-bit ints, as the source DDL does
+    raw.withColumn("account_id", F.col("account_id").cast("int")).write.mode("overwrite").parquet(path)
+    df = read_raw(spark, path, "accounts")
+    assert df.schema == schemas.ACCOUNTS
+    q = df.where(F.col("status") == "active").select("account_id", "status")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(status), EqualTo(status,active)]" in plan
+    assert "ReadSchema: struct<account_id:int,status:string>" in plan
+    assert q.count() == raw.where(F.col("status") == "active").count()
