@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import weakref
 from collections.abc import Callable
 from functools import cached_property
 
@@ -561,6 +562,20 @@ for _model in ("stg_customers", "stg_accounts", "stg_loans", "stg_transactions",
     REGISTRY[_model] = (lambda n: lambda x: x.m[n])(_model)
 
 
+# Planned inputs per session and data directory.  DataFrames are immutable
+# plans, so queries over the same tables reuse the analysed sources and models
+# (a plan cache: no data is cached, every query still executes in full).
+_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Inputs]]" = weakref.WeakKeyDictionary()
+
+
+def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
+    per_session = _PLANS.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        per_session[key] = Inputs(spark, key)
+    return per_session[key]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda f: lambda spark, sf_dir: f(Inputs(spark, sf_dir)))(fn)
+    return {name: (lambda f: lambda spark, sf_dir: f(inputs_for(spark, sf_dir)))(fn)
             for name, fn in REGISTRY.items()}
