@@ -157,6 +157,17 @@ def _insert_if_absent(x: Inputs) -> DataFrame:
     return INC.insert_if_absent(old, new, [key])
 
 
+@query("fct_transactions_incremental")
+def _fct_transactions_incremental(x: Inputs) -> DataFrame:
+    """The fact loaded in two runs: up to the cut, then everything newer, merged by id."""
+    from .plans.pipeline import fct_transactions_incremental
+    from .plans import staging as ST
+    raw = x.raw["transactions"]
+    first = raw.where(F.col("transaction_date") <= F.lit(tv.INCREMENTAL_CUTS["transactions"]).cast("timestamp_ntz"))
+    existing = M.fct_transactions(ST.stg_transactions(first), x.m["stg_accounts"], x.m["stg_customers"], x.cities)
+    return fct_transactions_incremental(existing, raw, x.m["stg_accounts"], x.m["stg_customers"], x.cities)
+
+
 # ---------------------------------------------------------------- projections and scalars
 
 @query("scalar_upper")
