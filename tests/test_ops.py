@@ -104,3 +104,17 @@ def test_read_raw_schema_and_pushdown(spark):
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,active)]" in plan
     assert "ReadSchema: struct<account_id:int,status:string>" in plan
     assert q.count() == raw.where(F.col("status") == "active").count()
+
+
+def test_register_views_exposes_models_to_sql(spark):
+    from ledgerlake.catalog import Inputs
+    from ledgerlake.plans.pipeline import MODEL_ORDER
+    x = Inputs(spark, "/root/testdata/sf0.001")
+    models = {n: x.m[n] for n in MODEL_ORDER}
+    sinks.register_views(models)
+    n = spark.sql("SELECT count(*) AS n FROM fct_transactions WHERE transaction_risk_level = 'HIGH'").first().n
+    assert n == models["fct_transactions"].where("transaction_risk_level = 'HIGH'").count()
+    joined = spark.sql("""SELECT d.customer_id, count(f.transaction_id) AS n
+                          FROM dim_customers d LEFT JOIN fct_transactions f ON d.customer_id = f.customer_id
+                          GROUP BY d.customer_id""")
+    assert joined.count() == models["dim_customers"].count()
