@@ -46,3 +46,21 @@ def shared_dir(spark: SparkSession) -> str:
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
+
+
+def settings_for_volume(input_bytes: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Shuffle and split sizes for a run over ``input_bytes`` of input.
+
+    AQE can coalesce shuffle partitions and split skewed ones, but it cannot
+    create partitions: the initial count must be large enough that an
+    average partition fits an executor's memory share.  At 100 TB and 256 MB
+    per partition that is ~400k shuffle partitions.
+    """
+    parts = max(8, -(-int(input_bytes) // partition_bytes))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }

@@ -73,10 +73,13 @@ def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFra
 
 def check_relationships(child: DataFrame, table: str, column: str,
                         parent: DataFrame, parent_column: str) -> DataFrame:
+    """Child rows whose key has no parent.  Rows are counted per key first
+    (partial aggregation), so the anti join sees one row per distinct key."""
+    per_key = (child.select(column).where(F.col(column).isNotNull())
+                    .groupBy(column).agg(F.count(F.lit(1)).alias("_rows")))
     keys = parent.select(F.col(parent_column).alias("_pk"))
-    orphans = (child.select(column).where(F.col(column).isNotNull())
-                    .join(keys, F.col(column) == F.col("_pk"), "left_anti"))
-    return orphans.agg(*_row("relationships", table, column, F.count(F.lit(1))))
+    orphans = per_key.join(keys, F.col(column) == F.col("_pk"), "left_anti")
+    return orphans.agg(*_row("relationships", table, column, F.coalesce(F.sum("_rows"), F.lit(0))))
 
 
 def check_accepted_values(df: DataFrame, table: str, accepted: Mapping[str, Sequence[str]]) -> DataFrame:

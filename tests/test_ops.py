@@ -118,3 +118,10 @@ def test_register_views_exposes_models_to_sql(spark):
                           FROM dim_customers d LEFT JOIN fct_transactions f ON d.customer_id = f.customer_id
                           GROUP BY d.customer_id""")
     assert joined.count() == models["dim_customers"].count()
+
+
+def test_settings_for_volume():
+    from ledgerlake.config import settings_for_volume
+    s = settings_for_volume(100 * 1024 ** 4)            # 100 TiB
+    assert s["spark.sql.shuffle.partitions"] == str(400 * 1024)
+    assert settings_for_volume(1)["spark.sql.shuffle.partitions"] == "8"
