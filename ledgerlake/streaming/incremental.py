@@ -45,10 +45,17 @@ def run_incremental_load(spark: SparkSession, source_dir: str, schema: StructTyp
     stream = reader.parquet(source_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = keep_latest(batch, keys, order_by)
-        latest.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("append").parquet(changes)
-        run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-        batch_watermark(batch, table, ts_col, run_ts).write.mode("append").parquet(marks)
+        # A micro-batch is bounded (maxFilesPerTrigger); keep it for its two
+        # uses instead of reading the new files twice.  Lineage still covers
+        # a lost executor.
+        batch.persist()
+        try:
+            latest = keep_latest(batch, keys, order_by)
+            latest.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("append").parquet(changes)
+            run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+            batch_watermark(batch, table, ts_col, run_ts).write.mode("append").parquet(marks)
+        finally:
+            batch.unpersist()
 
     query = (stream.writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint_dir)
