@@ -91,7 +91,7 @@ def max_loaded(existing: DataFrame, ts_col: str):
 
 def fct_transactions_incremental(existing_fct: DataFrame, raw_transactions: DataFrame,
                                  stg_accounts: DataFrame, stg_customers: DataFrame,
-                                 cities: DataFrame) -> DataFrame:
+                                 cities: DataFrame, since=None) -> DataFrame:
     """Incremental fact build keyed by ``transaction_id``.
 
     Only raw transactions newer than the newest ``transaction_date`` already
@@ -100,10 +100,15 @@ def fct_transactions_incremental(existing_fct: DataFrame, raw_transactions: Data
     batch is newer than any version already loaded, so the result equals a
     full rebuild (rows with a NULL timestamp are never picked up, as with any
     timestamp bookmark).
+
+    ``since`` is the bookmark, e.g. from the watermark table
+    (``operators.incremental.watermark_of``); without it the newest
+    ``transaction_date`` in the fact is read (a one-column scan).
     """
     from ..operators.incremental import extract_since, upsert
 
-    since = max_loaded(existing_fct, "transaction_date")
+    if since is None:
+        since = max_loaded(existing_fct, "transaction_date")
     new_tx = extract_since(raw_transactions, "transaction_date", since)
     delta = M.fct_transactions(S.stg_transactions(new_tx), stg_accounts, stg_customers, cities)
     return upsert(existing_fct, delta, ["transaction_id"])
