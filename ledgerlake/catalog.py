@@ -29,7 +29,7 @@ from .plans import marts as M
 from .plans.pipeline import Models
 from .sources import sinks
 from .sources import testviews as tv
-from .sources.raw import conform, read_seed
+from .sources.raw import read_seed
 
 AS_OF = "2002-01-01"
 RUN_TS = "2002-01-01 06:00:00"
@@ -46,20 +46,8 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        sources = tv.SourceTables(self.spark, self.sf_dir)
-        outer = self
-
-        class _Raw(dict):
-            def __missing__(self, name):
-                df = conform(tv.raw_table(outer.spark, outer.sf_dir, name, sources), name)
-                self[name] = df
-                return df
-
-            def items(self):
-                return [(n, self[n]) for n in tv.RAW_NAMES]
-
-        return _Raw()
+    def raw(self) -> tv.RawTables:
+        return tv.RawTables(self.spark, self.sf_dir)
 
     @cached_property
     def cities(self) -> DataFrame:
@@ -107,7 +95,7 @@ def _write_mart_roundtrip(x: Inputs) -> DataFrame:
 
 @query("table_row_counts")
 def _table_row_counts(x: Inputs) -> DataFrame:
-    return sinks.row_counts({**{n: x.raw[n] for n in tv.RAW_NAMES}, "nz_cities": x.cities})
+    return sinks.row_counts({**dict(x.raw.items()), "nz_cities": x.cities})
 
 
 # ---------------------------------------------------------------- incremental

@@ -274,6 +274,28 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str,
     return spark.sql(text, **used)
 
 
+class RawTables(dict):
+    """The banking raw tables of one data directory, each planned on first use
+    and projected onto its declared schema."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+        self.sources = SourceTables(spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        from .raw import conform
+        df = conform(raw_table(self.spark, self.sf_dir, name, self.sources), name)
+        self[name] = df
+        return df
+
+    def keys(self):
+        return list(RAW_NAMES)
+
+    def items(self):
+        return [(n, self[n]) for n in RAW_NAMES]
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     sources = SourceTables(spark, sf_dir)
     return {n: raw_table(spark, sf_dir, n, sources) for n in RAW_NAMES + ("nz_cities",)}
