@@ -26,12 +26,16 @@ NZ_CITIES = [
 def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
     """Scan one raw table with its declared schema (no inference).
 
+    ``path`` is a storage path, or a catalog table name when ``fmt`` is
+    ``"table"`` (e.g. ``raw.transactions``).
+
     Only columns whose stored type differs from the declared one are cast
     (e.g. 32-bit ids widened to 64 bits); the others stay plain column
     references, so filters on them reach the parquet scan as pushed filters
     and unused columns are pruned from the read schema.
     """
-    return conform(spark.read.format(fmt).load(path), table)
+    df = spark.table(path) if fmt == "table" else spark.read.format(fmt).load(path)
+    return conform(df, table)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

@@ -125,3 +125,15 @@ def test_settings_for_volume():
     s = settings_for_volume(100 * 1024 ** 4)            # 100 TiB
     assert s["spark.sql.shuffle.partitions"] == str(400 * 1024)
     assert settings_for_volume(1)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_read_raw_from_catalog_table(spark):
+    from ledgerlake import schemas
+    from ledgerlake.catalog import Inputs
+    from ledgerlake.sources.raw import read_raw
+    raw = Inputs(spark, "/root/testdata/sf0.001").raw["loan_applications"]
+    spark.sql("DROP TABLE IF EXISTS ledgerlake_raw_loans")
+    raw.write.saveAsTable("ledgerlake_raw_loans")
+    df = read_raw(spark, "ledgerlake_raw_loans", "loan_applications", fmt="table")
+    assert df.schema == schemas.LOAN_APPLICATIONS and df.count() == raw.count()
+    spark.sql("DROP TABLE IF EXISTS ledgerlake_raw_loans")
