@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerlake-warehouse-"))
                .config("spark.ui.showConsoleProgress", "false"))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
