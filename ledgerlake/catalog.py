@@ -23,7 +23,7 @@ from .operators import aggregates as A
 from .operators import incremental as INC
 from .operators import quality as Q
 from .operators.dedup import distinct_rows, keep_latest
-from .operators.joins import BROADCAST_MAX_ROWS, bounded_rows
+from .operators.joins import bounded_rows, broadcast_row_limit
 from .plans import intermediate as I
 from .plans import marts as M
 from .plans.pipeline import Models
@@ -401,7 +401,7 @@ def _join_account_transactions(x):
 def _join_city_lookup(x):
     t = x.m["stg_transactions"]
     seed = x.cities.select(F.col("city_name").alias("_city"), "country", "region")
-    seed = F.broadcast(seed) if bounded_rows(x.cities, BROADCAST_MAX_ROWS) else seed
+    seed = F.broadcast(seed) if bounded_rows(x.cities, broadcast_row_limit(x.cities)) else seed
     j = t.join(seed, F.col("merchant_city") == F.col("_city"), "left")
     return j.select("transaction_id", "merchant_city", F.col("_city").alias("city_name"), "country", "region")
 

@@ -8,9 +8,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup we broadcast: well under the default executor budget even
-# with wide rows.  Bigger lookups use the shuffle join the optimizer picks.
+# Largest lookup we broadcast, in rows and in estimated bytes; bigger lookups
+# use the shuffle join the optimizer picks (AQE may still broadcast a side
+# whose measured runtime size turns out small).
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 ** 2
+_STRING_BYTES = 64          # assumed width of a string / binary value
+
+
+# Widths of fixed-size values; anything else (strings, nested) counts as _STRING_BYTES.
+_FIXED_BYTES = {"BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "LongType": 8,
+                "FloatType": 4, "DoubleType": 8, "DateType": 4, "TimestampType": 8,
+                "TimestampNTZType": 8, "DecimalType": 16}
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Conservative width of one row from the schema (strings at 64 bytes)."""
+    return max(1, sum(_FIXED_BYTES.get(type(f.dataType).__name__, _STRING_BYTES) for f in df.schema.fields))
 
 
 # Row counts known from how a frame was built (e.g. a fixed list of literal rows).
@@ -35,8 +49,14 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def broadcast_row_limit(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                        max_bytes: int = BROADCAST_MAX_BYTES) -> int:
+    """Rows of ``df`` that fit both the row and the byte budget."""
+    return min(max_rows, max_bytes // row_bytes(df))
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+    return F.broadcast(df) if bounded_rows(df, broadcast_row_limit(df, max_rows)) else df
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands as B
 from ..functions import scalars as S
-from ..operators.joins import BROADCAST_MAX_ROWS, bounded_rows, left_lookup
+from ..operators.joins import bounded_rows, broadcast_row_limit, left_lookup
 
 CUSTOMER_ATTRS = ("customer_name", "customer_segment", "kyc_status")
 
@@ -81,7 +81,7 @@ def city_lookup(cities: DataFrame) -> DataFrame:
     the lookup never multiplies rows.
     """
     keys = cities.select(F.col("city_name").alias("_city"))
-    return F.broadcast(keys) if bounded_rows(cities, BROADCAST_MAX_ROWS) else keys
+    return F.broadcast(keys) if bounded_rows(cities, broadcast_row_limit(cities)) else keys
 
 
 def transaction_flags(abs_amount, merchant_category, fraud_score, matched_city) -> list:

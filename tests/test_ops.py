@@ -137,3 +137,11 @@ def test_read_raw_from_catalog_table(spark):
     df = read_raw(spark, "ledgerlake_raw_loans", "loan_applications", fmt="table")
     assert df.schema == schemas.LOAN_APPLICATIONS and df.count() == raw.count()
     spark.sql("DROP TABLE IF EXISTS ledgerlake_raw_loans")
+
+
+def test_broadcast_budget_counts_bytes(spark):
+    from ledgerlake.operators.joins import broadcast_row_limit, row_bytes
+    narrow = spark.range(1)
+    wide = spark.range(1).selectExpr(*[f"'x' AS s{i}" for i in range(100)])
+    assert row_bytes(wide) == 100 * 64
+    assert broadcast_row_limit(wide) < broadcast_row_limit(narrow) <= 1_000_000
