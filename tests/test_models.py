@@ -170,3 +170,19 @@ def test_run_pipeline_writes_marts_equal_to_lazy_models(spark, sf_models):
     for name in ("dim_customers", "fct_transactions"):
         assert marts[name].columns == sf_models.m[name].columns
         assert rows_set(marts[name]) == rows_set(sf_models.m[name])
+
+
+def test_overseas_flag_after_title_case(spark):
+    t0 = TS(2024, 1, 1)
+    cities_in = ["AUCKLAND", "Auckland CBD", "palmerston north", "Sydney", None]
+    tx = _raw(spark, "transactions", [
+        (i, 1, t0, None, D("5"), "debit", None, None, None, c, None, None, False, D("1"), "SETTLED", t0)
+        for i, c in enumerate(cities_in)])
+    acc = _raw(spark, "accounts", [(1, 1, "A1", "cheque", None, None, D("1"), None, "NZD", "active",
+                                    dt.date(2020, 1, 1), None, t0)])
+    cus = _raw(spark, "customers", [(1, "A", "B", dt.date(1990, 1, 1), None, None, None, None, None, None,
+                                     "retail", "verified", t0, t0)])
+    it = I.int_transactions_enriched(S.stg_accounts(acc, AS_OF), S.stg_customers(cus, AS_OF),
+                                     S.stg_transactions(tx), read_seed(spark))
+    got = {r.transaction_id: r.is_overseas for r in it.collect()}
+    assert got == {"0": False, "1": True, "2": False, "3": True, "4": True}
