@@ -36,12 +36,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by every executor: the cluster's ``spark.checkpoint.dir``.
 
     On a cluster this setting names durable shared storage and is always
-    read, never replaced.  Only when it is unset (local tests) do we create a
-    scratch folder and register it as the checkpoint dir.
+    read, never replaced; if it is unset there, this fails rather than fall
+    back to a folder only the driver can see.  Only in local mode (tests)
+    is a scratch folder created and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name storage shared by all executors")
         current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
