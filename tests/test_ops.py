@@ -145,3 +145,19 @@ def test_broadcast_budget_counts_bytes(spark):
     wide = spark.range(1).selectExpr(*[f"'x' AS s{i}" for i in range(100)])
     assert row_bytes(wide) == 100 * 64
     assert broadcast_row_limit(wide) < broadcast_row_limit(narrow) <= 1_000_000
+
+
+def test_cli_run_and_test(spark, capsys):
+    from ledgerlake.__main__ import main
+    from ledgerlake.catalog import Inputs
+    root = os.path.join(shared_dir(spark), "cli_test")
+    x = Inputs(spark, "/root/testdata/sf0.001")
+    for t in ("customers", "accounts", "transactions", "loan_applications"):
+        x.raw[t].write.mode("overwrite").parquet(os.path.join(root, "raw", t))
+    assert main(["run", "--raw", os.path.join(root, "raw"), "--out", os.path.join(root, "out"),
+                 "--as-of", "2002-01-01"]) == 0
+    fct = spark.read.parquet(os.path.join(root, "out", "mart", "fct_transactions"))
+    assert fct.count() == x.m["fct_transactions"].count()
+    assert main(["test", "--raw", os.path.join(root, "raw")]) == 1      # raw data carries duplicates
+    out = capsys.readouterr().out
+    assert "FAIL unique(transactions.transaction_id)" in out and "PASS not_null(accounts.open_date)" in out
