@@ -1,7 +1,7 @@
 """Command line: build the marts, or run the data-quality checks.
 
-    spark-submit -m ledgerlake run  --raw <dir|schema> --out <shared dir> [--as-of YYYY-MM-DD]
-    spark-submit -m ledgerlake test --raw <dir|schema>
+    spark-submit --py-files ledgerlake.zip run_ledgerlake.py run  --raw <dir|schema> --out <shared dir> [--as-of YYYY-MM-DD]
+    spark-submit --py-files ledgerlake.zip run_ledgerlake.py test --raw <dir|schema>
 
 ``--raw`` holds one table per name (customers, accounts, transactions,
 loan_applications): folders under a path, or tables of a catalog schema with
