@@ -161,3 +161,13 @@ def test_cli_run_and_test(spark, capsys):
     assert main(["test", "--raw", os.path.join(root, "raw")]) == 1      # raw data carries duplicates
     out = capsys.readouterr().out
     assert "FAIL unique(transactions.transaction_id)" in out and "PASS not_null(accounts.open_date)" in out
+
+
+def test_upsert_with_broadcast_keys_streams_the_old_table(spark):
+    old = spark.range(1000).selectExpr("id AS k", "'old' AS v")
+    new = spark.createDataFrame([(1, "new"), (5000, "new")], "k long, v string")
+    merged = INC.upsert(old, new, ["k"], broadcast_new_keys=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    got = {r.k: r.v for r in merged.collect()}
+    assert len(got) == 1001 and got[1] == "new" and got[5000] == "new" and got[2] == "old"
