@@ -126,23 +126,27 @@ def _watermark_advance(x: Inputs) -> DataFrame:
 
 
 def _split_latest(x: Inputs, table: str):
+    """Latest rows up to the cut (the loaded table) and after it (the increment),
+    plus whether the increment is proven small enough to broadcast its keys."""
     key, order = DEDUP_ORDER[table]
     raw, cut = x.raw[table], F.lit(tv.INCREMENTAL_CUTS[table]).cast("timestamp_ntz")
+    increment = raw.where(F.col("last_modified_date") > cut)
     old = keep_latest(raw.where(F.col("last_modified_date") <= cut), [key], [order])
-    new = keep_latest(raw.where(F.col("last_modified_date") > cut), [key], [order])
-    return old, new, key
+    new = keep_latest(increment, [key], [order])
+    small = bounded_rows(increment.select(key), broadcast_row_limit(increment.select(key)))
+    return old, new, key, small
 
 
 @query("upsert_by_key")
 def _upsert_by_key(x: Inputs) -> DataFrame:
-    old, new, key = _split_latest(x, "customers")
-    return INC.upsert(old, new, [key])
+    old, new, key, small = _split_latest(x, "customers")
+    return INC.upsert(old, new, [key], broadcast_new_keys=small)
 
 
 @query("insert_if_absent")
 def _insert_if_absent(x: Inputs) -> DataFrame:
-    old, new, key = _split_latest(x, "accounts")
-    return INC.insert_if_absent(old, new, [key])
+    old, new, key, small = _split_latest(x, "accounts")
+    return INC.insert_if_absent(old, new, [key], broadcast_new_keys=small)
 
 
 @query("fct_transactions_incremental")

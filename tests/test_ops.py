@@ -1,6 +1,7 @@
 """Quality checks, incremental load / merges, sinks and the seed reader."""
 
 import datetime as dt
+from collections import Counter
 import os
 import tempfile
 
@@ -171,3 +172,15 @@ def test_upsert_with_broadcast_keys_streams_the_old_table(spark):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     got = {r.k: r.v for r in merged.collect()}
     assert len(got) == 1001 and got[1] == "new" and got[5000] == "new" and got[2] == "old"
+
+
+def test_insert_if_absent_with_broadcast_keys(spark):
+    old = spark.range(1000).selectExpr("id AS k", "'old' AS v")
+    new = spark.createDataFrame([(1, "new"), (5000, "new"), (None, "null-key")], "k long, v string")
+    plain = INC.insert_if_absent(old, new, ["k"])
+    fast = INC.insert_if_absent(old, new, ["k"], broadcast_new_keys=True)
+    assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, fast.collect()))
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    got = {r.k: r.v for r in fast.collect()}
+    assert got[1] == "old" and got[5000] == "new" and got[None] == "null-key"
