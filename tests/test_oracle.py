@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlake import catalog, oracle
 from tests.oracle_compare import compare, duck_connection
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
