@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, token_counts
+from . import html_extract, line_dedup, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -17,17 +17,33 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op10_line_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extract": op1_html_extract,
         "op3_token_counts": op3_token_counts,
+        "op6_secret_scan": op6_secret_scan,
+        "op8_toxicity": op8_toxicity,
         "op10_line_dedup": op10_line_dedup,
     }
 
