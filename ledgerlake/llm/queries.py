@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, secret_scan, token_counts, toxicity
+from . import html_extract, line_dedup, packing, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extract": op1_html_extract,
         "op3_token_counts": op3_token_counts,
+        "op4_best_fit_packing": op4_best_fit_packing,
         "op6_secret_scan": op6_secret_scan,
         "op8_toxicity": op8_toxicity,
         "op10_line_dedup": op10_line_dedup,
