@@ -1,13 +1,14 @@
 """Toxicity scores by a factorization machine over hashed terms (operator 8).
 
 Terms of a text are its words and the first letters of its words, hashed to
-``buckets``.  A linear model adds the weights of single terms; the machine
+31 bits.  A linear model adds the weights of single terms; the machine
 also learns a factor vector per term, so that two terms seen together (an
 insult and the mention of a group) can weigh more than their sum.
 
-Fitting uses a bounded, documented sample: at most ``max_train_rows``
-labelled rows, chosen by a hash of their id, without those held out
-(crc32 of the id as text, modulo 4, is 2).  Per-term document counts by
+Fitting uses a bounded, documented sample: of each label at most
+``max_rows_per_label`` rows, chosen by a hash of their id, without those held
+out (crc32 of the id as text, modulo 4, is 2); the bias is then moved to the
+labels' shares among all rows that aren't held out.  Per-term document counts by
 label come from a distributed aggregate; the ``max_terms`` terms whose rates
 differ most between the labels (likelihood ratio) stay, and only these enter the machine, which
 keeps long texts of unknown words from drifting.  The model has a fixed
@@ -35,11 +36,10 @@ STRIP = ".,;:!?\"'()[]{}<>|/\\-_*#&%$~`«»“”‘’…"
 
 @dataclass(frozen=True)
 class Settings:
-    max_train_rows: int = 20_000   # bound of the fitting sample
-    max_terms: int = 4_096         # terms that enter the machine
-    min_rows: int = 4              # labelled rows a term must be in
-    min_gain: float = 20.0         # likelihood ratio (G) of term and label from which a term is kept
-    buckets: int = 1 << 20
+    max_rows_per_label: int = 4_000  # bound of the fitting sample
+    max_terms: int = 4_096           # terms that enter the machine
+    min_rows: int = 4                # sampled rows a term must be in
+    min_gain: float = 20.0           # likelihood ratio (G) of term and label from which a term is kept
     stem: int = 4                  # letters of a word's start that are a term of their own
     factors: int = 8
     epochs: int = 30
@@ -64,9 +64,9 @@ class Terms:
         word = raw.lower().strip(STRIP)
         if not word:
             return ()
-        n, stem = self.s.buckets, word[:self.s.stem]
-        own = zlib.crc32(b"w:" + word.encode("utf-8", "replace")) % n
-        return own, zlib.crc32(b"s:" + stem.encode("utf-8", "replace")) % n
+        stem = word[:self.s.stem]
+        own = zlib.crc32(b"w:" + word.encode("utf-8", "replace")) >> 1
+        return own, zlib.crc32(b"s:" + stem.encode("utf-8", "replace")) >> 1
 
     def __call__(self, text: str | None) -> np.ndarray:
         memo, found = self.memo, set()
@@ -77,7 +77,7 @@ class Terms:
                 if len(memo) < self.memo_size and len(raw) <= 64:
                     memo[raw] = terms
             found.update(terms)
-        return np.fromiter(found, np.int64, len(found))
+        return np.fromiter(found, np.int32, len(found))
 
 
 def _term_batches(settings: Settings):
@@ -89,7 +89,7 @@ def _term_batches(settings: Settings):
             texts = batch.column("text")
             found = [terms(texts[i].as_py()) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int64()))],
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))],
                 names=["doc_id", "toxic", "terms"])
     return run
 
@@ -178,24 +178,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.machine.margins(ids, starts), -700, 700)))
 
 
-def _sample(labels: DataFrame, s: Settings) -> DataFrame:
-    """At most ``max_train_rows`` labelled ids that aren't held out, in order of a hash."""
-    known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
-    one = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.max_train_rows)
+def _sample(known: DataFrame, s: Settings) -> DataFrame:
+    """Of each label at most ``max_rows_per_label`` ids, the first in order of a hash."""
+    def of(label: int) -> DataFrame:
+        return (known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id")
+                .limit(s.max_rows_per_label))
+    return of(1).unionByName(of(0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id") -> Model:
     """Fits on the bounded sample; only per-term counts and the kept terms of its rows reach the driver."""
     s = settings
-    sample = _sample(pick(labels, doc_id=label_id_col, toxic=label_col).withColumn("toxic", F.col("toxic").cast("int")), s)
-    rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id")  # bound: max_train_rows
+    known = pick(labels, doc_id=label_id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
+    known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
+        F.max(F.col("toxic").cast("int")).alias("toxic"))
+    sample = _sample(known, s)
+    rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id")  # 2 * max_rows_per_label
+    rows = materialize(rows.select("doc_id", "toxic", "text"), "toxicity-sample")
     spark = docs.sparkSession
-    found = materialize(rows.select("doc_id", "toxic", "text").mapInArrow(
-        _term_batches(s), f"doc_id {dict(rows.dtypes)['doc_id']}, toxic int, terms array<long>"), "toxicity-terms")
-
-    totals = {r[0]: r[1] for r in found.groupBy("toxic").count().collect()}
+    found = rows.mapInArrow(_term_batches(s), f"doc_id {dict(rows.dtypes)['doc_id']}, toxic int, terms array<int>")
+    shares = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    totals = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 and not n0:
         return Model(s, np.zeros(0, np.int64), None)
@@ -211,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     kept = [r[0] for r in ranked.orderBy(F.desc("gain"), "term").limit(s.max_terms).select("term").collect()]
     buckets = np.array(sorted(kept), np.int64)
 
-    chosen = F.broadcast(spark.createDataFrame([(int(b),) for b in kept], "term long"))
+    chosen = F.broadcast(spark.createDataFrame([(int(b),) for b in kept], "term int"))
     per_row = found.select("doc_id", "toxic", F.explode("terms").alias("term")).join(chosen, "term").groupBy(
         "doc_id", "toxic").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     model = Model(s, buckets, FactorizationMachine(len(buckets), s))
@@ -223,6 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
         features += [np.zeros(0, np.int64)] * rest
         y += [label] * rest
     model.machine.fit(features, np.array(y))
+    if n1 and n0:
+        model.machine.bias += float(np.log(shares[1] / shares[0]) - np.log(n1 / n0))
     return model
 
 
