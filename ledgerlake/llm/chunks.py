@@ -14,11 +14,18 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import lru_cache
 
 SAFE = "!-~À-ÖØ-öø-ɏ"
 CUT = re.compile(f"(?<=[{SAFE}])(?= [{SAFE}])")
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> "ChunkEncoder":
+    """The worker process's encoder of a file: its memo outlives the task."""
+    return ChunkEncoder(path)
+
+
 class ChunkEncoder:
     """Ids of texts as ``tokenizers`` gives them, as little-endian uint32 bytes."""
 

@@ -53,12 +53,12 @@ def _encode_misses(path: str):
     def run(batches):
         import pyarrow as pa
 
-        from .chunks import ChunkEncoder
+        from .chunks import encoder
 
-        encoder = ChunkEncoder(path)
+        count = encoder(path).count
         for batch in batches:
             texts = batch.column("text")
-            counts = [encoder.count(texts[i].as_py()) for i in range(batch.num_rows)]
+            counts = [count(texts[i].as_py()) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(counts, pa.int64())],
                                              names=["content", "n_tokens"])
     return run
