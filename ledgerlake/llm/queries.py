@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, packing, secret_scan, token_counts, toxicity
+from . import html_extract, line_dedup, packing, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op9_quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op10_line_dedup(table(spark, sf_dir, "documents"))
 
@@ -49,11 +53,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_secret_scan": op6_secret_scan,
         "op8_toxicity": op8_toxicity,
+        "op9_quality_rules": op9_quality_rules,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op9_quality_rules": quality.op9_sql(),
         "op10_line_dedup": line_dedup.OP10_SQL,
     }
