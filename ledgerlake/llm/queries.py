@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, packing, quality, secret_scan, token_counts, toxicity
+from . import html_extract, line_dedup, near_dedup, packing, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Settings(words=4))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -49,6 +53,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extract": op1_html_extract,
+        "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_token_counts": op3_token_counts,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_secret_scan": op6_secret_scan,
