@@ -52,7 +52,7 @@ def _piece_batches(tokenizer: str, end_id: int | None, capacity: int, keep_ids:
     def run(batches):
         import pyarrow as pa
 
-        from .chunks import encoder
+        from .ranks import encoder
 
         encode = encoder(tokenizer).ids
         for batch in batches:
