@@ -29,23 +29,23 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return materialize(out.distinct(), "stars")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_star_forest(edges: DataFrame) -> bool:
+    """True if each node is either a root (v) or the child (u) of one root."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("root")))
+    sums = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
+    return sums.where("child + root > 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links`` (columns u, v of long): the least node reachable.
 
-    Ends when a round changes nothing; the number of rounds grows with the
-    logarithm of the components' diameter.
+    Ends when every component is a star around its least node; the number of
+    rounds grows with the logarithm of the components' diameter.
     """
     edges = materialize(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                         .distinct(), "links")
-    state = _state(edges)
-    while True:
+    while not _is_star_forest(edges):
         edges = _stars(_stars(edges, large=True), large=False)
-        before, state = state, _state(edges)
-        if state == before:
-            break
     members = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

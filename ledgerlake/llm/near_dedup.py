@@ -12,13 +12,21 @@ the defaults two sets of similarity 0.8 share a key with probability above
    set, partial aggregation), so copies don't meet again.
 2. Small hashes that only one class has can't form a shared key and are
    dropped before pairs are formed.
-3. In each bucket (classes with equal key) the smallest class is the hub, and
-   every member is verified against it on full sets.  Links become
-   components.  Buckets that still hold several components give up their
-   hub, which has met every member, and go on with more hubs a round, until
-   no bucket has two components left that could have met.  So every pair of
-   different texts that shares a key is verified or already connected,
-   without pairing all members of a bucket, and without a cap.
+3. Shingles that no other of the remaining classes has can't be in an
+   intersection.  Their number bounds the similarity of any pair from above,
+   exactly: a class whose own shingles are too many can link with nothing
+   and leaves, and other pairs are skipped by their sizes.
+4. In each bucket (classes with equal key) the class with the fewest
+   shingles of its own is the hub, and every member that may reach the
+   similarity is verified against it on full sets.  Links become components.
+   Buckets that still hold several components give up their hub, which has
+   met every member.  Small ones then compare all members; in large ones
+   classes that share a rare shingle are compared, which sharpens the bound
+   for all other pairs to the shingles that many have, and hubs go on, more a
+   round, until no bucket has two components that might link.  So every pair
+   of different texts that shares a key is verified, ruled out by an exact
+   bound, or already connected, without pairing all members of a bucket, and
+   without a cap.
 
 Null and empty texts have empty sets and are linked with nothing.  Rows with
 a null id are not compared: their component is null and they are kept.  Rows
@@ -45,7 +53,8 @@ class Settings:
     percent: int = 80            # 100 * intersection >= percent * union
     rows: int = 3                # minima in a small hash
     groups: int = 12             # small hashes in each of the two collections
-    hubs: tuple = (1, 4, 16, 64, 256)  # of a bucket by round; the last holds for all further rounds
+    hubs: tuple = (1, 64, 512)   # of a bucket by round; the last holds for all further rounds
+    rare: int = 32               # shingles of fewer open classes pair these directly, see _rare_pairs
     seed: int = 5
 
 
@@ -140,35 +149,49 @@ def _classes(signatures: DataFrame) -> DataFrame:
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
 
 
-def _entries(classes: DataFrame, s: Settings) -> DataFrame:
-    """Bucket entries (key, node, n): pairs of small hashes that some other class has too."""
+def _shared(classes: DataFrame, s: Settings) -> DataFrame:
+    """(node, n, a, b): the small hashes of either collection that some other class has too."""
     each = classes.select("node", "n", F.posexplode("hashes").alias("at", "h"))
     shared = materialize(each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"), "shared-hashes")
     kept = each.join(shared, "h", "left_semi").groupBy("node", "n").agg(
         F.collect_list(F.when(F.col("at") < s.groups, F.col("h"))).alias("a"),
         F.collect_list(F.when(F.col("at") >= s.groups, F.col("h"))).alias("b"))
-    kept = materialize(kept.where("size(a) > 0 and size(b) > 0"), "shared-by-class")
+    return materialize(kept.where("size(a) > 0 and size(b) > 0"), "shared-by-class")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    """(node, members): the full sets of ``nodes``, made from their whole texts."""
+    found = docs.join(nodes.select("node"), docs["doc_id"] == nodes["node"]).select("node", "text")
+    return materialize(found.mapInArrow(_set_batches(s), "node long, members array<long>"), "sets")
+
+
+def _entries(shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Bucket entries (key, node, n, t) of classes that can link; t counts shingles that others have too."""
+    holders = sets.select("node", F.explode("members").alias("shingle")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("k"), F.min("node").alias("node"))
+    own = materialize(holders.where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own")), "own-shingles")
+    t = F.col("n") - F.coalesce(F.col("own"), F.lit(0))
+    alive = shared.join(own, "node", "left").withColumn("t", t).where(100 * F.col("t") >= s.percent * F.col("n"))
     keys = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
-    return kept.select("node", "n", F.explode(keys).alias("key"))
+    return materialize(alive.select("node", "n", "t", F.explode(keys).alias("key")), "entries")
 
 
-def _near_size(a: Column, b: Column, s: Settings) -> Column:
-    """Sets whose sizes differ more can't reach the similarity."""
-    return 100 * F.least(a, b) >= s.percent * F.greatest(a, b)
+def _may_link(n1: Column, t1: Column, n2: Column, t2: Column, s: Settings) -> Column:
+    """Whether an intersection of all shared shingles of the smaller side would reach the similarity."""
+    most = F.least(t1, t2)
+    return 100 * most >= s.percent * (n1 + n2 - most)
 
 
 def _candidates(entries: DataFrame, hubs: DataFrame, s: Settings) -> DataFrame:
     """Distinct pairs (u, v) of a hub and a member of another component in the same bucket."""
-    h = hubs.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_c"))
-    met = entries.join(h, "key").where((F.col("component") != F.col("hub_c")) & _near_size(F.col("n"), F.col("hub_n"), s))
-    return met.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
+    h = hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("node", "n", "t", "component")])
+    met = entries.join(h, "key").where((F.col("component") != F.col("hub_component")) & _may_link(
+        F.col("n"), F.col("t"), F.col("hub_n"), F.col("hub_t"), s))
+    return met.select(F.least("node", "hub_node").alias("u"), F.greatest("node", "hub_node").alias("v")).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose full sets reach the similarity; sets are made for the documents in pairs only."""
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = materialize(docs.join(nodes, docs["doc_id"] == nodes["node"]).select("node", "text").mapInArrow(
-        _set_batches(s), "node long, members array<long>"), "sets")
+def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
     left = sets.select(F.col("node").alias("u"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("v"), F.col("members").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -176,41 +199,91 @@ def _verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").where(100 * both >= s.percent * union).select("u", "v").distinct()
 
 
-def _links(entries: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
-    """Verified links that connect every two classes that can be connected within buckets."""
-    spark = docs.sparkSession
-    entries = entries.withColumn("component", F.col("node"))
-    links, found = None, None
-    step = 0
-    while True:
-        count = s.hubs[min(step, len(s.hubs) - 1)]
-        if step == 0:
-            # The smallest member is the hub: an aggregate, no ranking of large buckets.
-            hubs = entries.groupBy("key").agg(F.min(F.struct("node", "n", "component")).alias("m"),
-                                              F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "m.*")
+def _still_open(entries: DataFrame, s: Settings) -> DataFrame:
+    """Entries of buckets with several components, without members that can link with none of the bucket.
+
+    The smallest set of the bucket gives the least union a member can have.
+    """
+    by_key = entries.groupBy("key").agg(F.min("n").alias("least_n"), F.min("component").alias("c0"),
+                                        F.max("component").alias("c1")).where("c0 != c1").select("key", "least_n")
+    least_union = F.col("n") + F.greatest(F.col("least_n"), F.col("t")) - F.col("t")
+    return entries.join(materialize(by_key, "mixed-buckets"), "key").where(
+        100 * F.col("t") >= s.percent * least_union).drop("least_n")
+
+
+def _rare_pairs(entries: DataFrame, sets: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Pairs of the entries' classes that share a rare shingle, and (node, common): how many others each has.
+
+    A rare shingle is held by fewer than ``rare`` of these classes, so it
+    makes a bounded number of pairs.  Two classes that share none can only
+    have common shingles in their intersection.
+    """
+    nodes = entries.select("node").distinct()
+    each = materialize(sets.join(nodes, "node", "left_semi").select("node", F.explode("members").alias("shingle")),
+                       "open-shingles")
+    held = materialize(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "held")
+    known = each.join(held, "shingle")
+    common = materialize(known.groupBy("node").agg(F.sum((F.col("k") >= s.rare).cast("long")).alias("common")), "common")
+    holders = known.where(F.col("k") < s.rare).groupBy("shingle").agg(F.sort_array(F.collect_list("node")).alias("of"))
+    both = F.flatten(F.transform("of", lambda u, i: F.transform(
+        F.slice("of", i + 2, F.lit(s.rare)), lambda v: F.struct(u.alias("u"), v.alias("v")))))
+    return holders.select(F.explode(both).alias("p")).select("p.u", "p.v").distinct(), common
+
+
+def _refined(entries: DataFrame, sets: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Pairs of large buckets that share a rare shingle, and the entries with the sharper bound there."""
+    size = max(s.hubs[1], s.rare)
+    large = materialize(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > size).select(
+        "key", F.lit(True).alias("large")), "large-buckets")
+    in_large = materialize(entries.join(large, "key", "left_semi"), "large-entries")
+    pairs, common = _rare_pairs(in_large, sets, s)
+    facts = in_large.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "t", "component")])
+    u = facts.select(*[F.col(c).alias(f"u_{c}") for c in facts.columns])
+    v = facts.select(*[F.col(c).alias(f"v_{c}") for c in facts.columns])
+    pairs = pairs.join(u, F.col("u") == F.col("u_node")).join(v, F.col("v") == F.col("v_node")).where(
+        (F.col("u_component") != F.col("v_component")) & _may_link(
+            F.col("u_n"), F.col("u_t"), F.col("v_n"), F.col("v_t"), s)).select("u", "v")
+    small = entries.join(large, "key", "left_anti")
+    sharper = in_large.join(common, "node", "left").withColumn("t", F.least("t", F.coalesce("common", F.lit(0))))
+    return pairs, small.unionByName(sharper.select(small.columns))
+
+
+def _links(entries: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | None:
+    """Components (node, component) of all classes that verified links connect within buckets; None without links."""
+    columns = ["key", "node", "n", "t", "component"]
+
+    def open_(df: DataFrame) -> DataFrame:
+        return materialize(_still_open(df, s).select(columns), "entries")
+
+    entries, links, found, step = open_(entries.withColumn("component", F.col("node"))), None, None, 0
+    while not entries.isEmpty():
+        more = None
+        if step == 1:
+            more, entries = _refined(entries, sets, s)
+            entries = open_(entries)
+        if step:
+            rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("n") - F.col("t"), "node"))
+            hubs = entries.withColumn("rank", rank).where(F.col("rank") <= s.hubs[min(step, len(s.hubs) - 1)])
         else:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            hubs = entries.withColumn("rank", rank).where(F.col("rank") <= count).drop("rank")
-        hubs = materialize(hubs.select("key", "node", "n", "component"), "hubs")
-        pairs = materialize(_candidates(entries, hubs, s), "candidates")
-        new = materialize(_verified(pairs, docs, s), "verified")
-        if new.isEmpty() is False:
-            links = new if links is None else materialize(links.unionByName(new), "all-links")
+            first = F.min(F.struct((F.col("n") - F.col("t")).alias("own"), "node", "n", "t", "component"))
+            hubs = entries.groupBy("key").agg(first.alias("m")).select("key", "m.*")
+        hubs = materialize(hubs.select(columns), "hubs")
+        pairs = _candidates(entries, hubs, s)
+        pairs = materialize(pairs if more is None else pairs.unionByName(more).distinct(), "candidates")
+        new = materialize(_verified(pairs, sets, s), "verified")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
             found = materialize(components(links), "components")
         # Hubs have met all members of their buckets; what is left goes on where components differ.
-        rest = entries.select("key", "node", "n").join(hubs.select("key", "node"), ["key", "node"], "left_anti")
+        rest = entries.join(hubs.select("key", "node"), ["key", "node"], "left_anti").drop("component")
         if found is not None:
-            rest = rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            rest = rest.join(found, "node", "left")
         else:
-            rest = rest.withColumn("component", F.col("node"))
-        rest = rest.join(hubs.select("key").distinct(), "key", "left_semi")
-        rest = materialize(rest.select("key", "node", "n", "component"), "entries")
-        mixed = materialize(rest.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-                            .where("a != b").select("key"), "mixed-buckets")
-        if mixed.isEmpty():
-            return found
-        entries = materialize(rest.join(mixed, "key", "left_semi").select("key", "node", "n", "component"), "entries")
+            rest = rest.withColumn("component", F.lit(None).cast("long"))
+        entries = open_(materialize(rest.withColumn("component", F.coalesce("component", "node")).select(columns),
+                                    "entries"))
         step += 1
+    return found
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
@@ -221,7 +294,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     signatures = materialize(src.mapInArrow(
         _signature_batches(s), "doc_id long, n long, digest binary, hashes array<long>"), "signatures")
     classes = materialize(_classes(signatures), "classes")
-    found = _links(_entries(classes, s), src, s)
+    shared = _shared(classes, s)
+    sets = _sets(src, shared, s)
+    found = _links(_entries(shared, sets, s), sets, s)
     names = classes.select("digest", "node")
     if found is None:
         names = names.withColumn("component", F.col("node"))
