@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, near_dedup, packing, quality, secret_scan, token_counts, toxicity
+from . import html_extract, line_dedup, mixing, near_dedup, packing, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op5_temperature_mixing(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_token_counts": op3_token_counts,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_temperature_mixing": op5_temperature_mixing,
         "op6_secret_scan": op6_secret_scan,
         "op8_toxicity": op8_toxicity,
         "op9_quality_rules": op9_quality_rules,
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_temperature_mixing": mixing.op5_sql(),
         "op9_quality_rules": quality.op9_sql(),
         "op10_line_dedup": line_dedup.OP10_SQL,
     }
