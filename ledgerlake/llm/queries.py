@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, mixing, near_dedup, packing, quality, secret_scan, token_counts, toxicity
+from . import ann, html_extract, line_dedup, mixing, near_dedup, packing, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -41,6 +41,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.op7_nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_temperature_mixing": op5_temperature_mixing,
         "op6_secret_scan": op6_secret_scan,
+        "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_toxicity": op8_toxicity,
         "op9_quality_rules": op9_quality_rules,
         "op10_line_dedup": op10_line_dedup,
