@@ -53,7 +53,7 @@ class Settings:
     percent: int = 80            # 100 * intersection >= percent * union
     rows: int = 3                # minima in a small hash
     groups: int = 12             # small hashes in each of the two collections
-    hubs: tuple = (1, 64, 512)   # of a bucket by round; the last holds for all further rounds
+    hubs: tuple = (64, 512)      # of a bucket in the rounds after the first; the last holds for all others
     rare: int = 32               # shingles of fewer open classes pair these directly, see _rare_pairs
     seed: int = 5
 
@@ -150,12 +150,14 @@ def _classes(signatures: DataFrame) -> DataFrame:
 
 
 def _shared(classes: DataFrame, s: Settings) -> DataFrame:
-    """(node, n, a, b): the small hashes of either collection that some other class has too."""
-    each = classes.select("node", "n", F.posexplode("hashes").alias("at", "h"))
+    """(node, a, b): the small hashes of either collection that some other class has too."""
+    # The lowest bit of a hash tells its collection, so that rows are two numbers.
+    marked = F.transform("hashes", lambda h, at: h.bitwiseAND(F.lit(-2)) + (at >= s.groups).cast("long"))
+    each = classes.select("node", F.explode(marked).alias("h"))
     shared = materialize(each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"), "shared-hashes")
-    kept = each.join(shared, "h", "left_semi").groupBy("node", "n").agg(
-        F.collect_list(F.when(F.col("at") < s.groups, F.col("h"))).alias("a"),
-        F.collect_list(F.when(F.col("at") >= s.groups, F.col("h"))).alias("b"))
+    second = F.col("h") % 2 != 0
+    kept = each.join(shared, "h", "left_semi").groupBy("node").agg(
+        F.collect_list(F.when(~second, F.col("h"))).alias("a"), F.collect_list(F.when(second, F.col("h"))).alias("b"))
     return materialize(kept.where("size(a) > 0 and size(b) > 0"), "shared-by-class")
 
 
@@ -170,8 +172,9 @@ def _entries(shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     holders = sets.select("node", F.explode("members").alias("shingle")).groupBy("shingle").agg(
         F.count(F.lit(1)).alias("k"), F.min("node").alias("node"))
     own = materialize(holders.where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own")), "own-shingles")
-    t = F.col("n") - F.coalesce(F.col("own"), F.lit(0))
-    alive = shared.join(own, "node", "left").withColumn("t", t).where(100 * F.col("t") >= s.percent * F.col("n"))
+    sized = sets.select("node", F.size("members").cast("long").alias("n")).join(own, "node", "left")
+    sized = sized.withColumn("t", F.col("n") - F.coalesce(F.col("own"), F.lit(0))).drop("own")
+    alive = shared.join(sized.where(100 * F.col("t") >= s.percent * F.col("n")), "node")
     keys = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
     return materialize(alive.select("node", "n", "t", F.explode(keys).alias("key")), "entries")
 
@@ -212,76 +215,92 @@ def _still_open(entries: DataFrame, s: Settings) -> DataFrame:
 
 
 def _rare_pairs(entries: DataFrame, sets: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pairs of the entries' classes that share a rare shingle, and (node, common): how many others each has.
+    """Pairs of the entries' classes that share a rare shingle, and (node, uncommon): how many others each has.
 
     A rare shingle is held by fewer than ``rare`` of these classes, so it
-    makes a bounded number of pairs.  Two classes that share none can only
-    have common shingles in their intersection.
+    makes a bounded number of pairs; of the others no more than ``rare``
+    holders are looked at.  Two classes that share no rare shingle can only
+    have common ones in their intersection.
     """
     nodes = entries.select("node").distinct()
-    each = materialize(sets.join(nodes, "node", "left_semi").select("node", F.explode("members").alias("shingle")),
-                       "open-shingles")
-    held = materialize(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "held")
-    known = each.join(held, "shingle")
-    common = materialize(known.groupBy("node").agg(F.sum((F.col("k") >= s.rare).cast("long")).alias("common")), "common")
-    holders = known.where(F.col("k") < s.rare).groupBy("shingle").agg(F.sort_array(F.collect_list("node")).alias("of"))
+    each = sets.join(nodes, "node", "left_semi").select("node", F.explode("members").alias("shingle"))
+    at = F.row_number().over(Window.partitionBy("shingle").orderBy("node"))
+    few = each.withColumn("at", at).where(F.col("at") <= s.rare)
+    held = few.groupBy("shingle").agg(F.sort_array(F.collect_list("node")).alias("of"))
+    held = materialize(held.where(F.size("of") < s.rare).select("of"), "rare-shingles")
+    uncommon = held.select(F.explode("of").alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("uncommon"))
     both = F.flatten(F.transform("of", lambda u, i: F.transform(
         F.slice("of", i + 2, F.lit(s.rare)), lambda v: F.struct(u.alias("u"), v.alias("v")))))
-    return holders.select(F.explode(both).alias("p")).select("p.u", "p.v").distinct(), common
+    pairs = held.where(F.size("of") > 1).select(F.explode(both).alias("p")).select("p.u", "p.v").distinct()
+    return pairs, uncommon
 
 
-def _refined(entries: DataFrame, sets: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pairs of large buckets that share a rare shingle, and the entries with the sharper bound there."""
-    size = max(s.hubs[1], s.rare)
-    large = materialize(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > size).select(
-        "key", F.lit(True).alias("large")), "large-buckets")
-    in_large = materialize(entries.join(large, "key", "left_semi"), "large-entries")
-    pairs, common = _rare_pairs(in_large, sets, s)
+def _refined(entries: DataFrame, sets: DataFrame, s: Settings) -> tuple[DataFrame | None, DataFrame]:
+    """Pairs of large buckets that share a rare shingle, and the entries with the sharper bound there.
+
+    None and the entries as they are if no bucket is large.
+    """
+    large = materialize(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where(
+        F.col("k") > max(s.hubs[0], s.rare)).select("key"), "large-buckets")
+    if large.isEmpty():
+        return None, entries
+    in_large = entries.join(large, "key", "left_semi")
+    pairs, uncommon = _rare_pairs(in_large, sets, s)
     facts = in_large.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "t", "component")])
     u = facts.select(*[F.col(c).alias(f"u_{c}") for c in facts.columns])
     v = facts.select(*[F.col(c).alias(f"v_{c}") for c in facts.columns])
     pairs = pairs.join(u, F.col("u") == F.col("u_node")).join(v, F.col("v") == F.col("v_node")).where(
         (F.col("u_component") != F.col("v_component")) & _may_link(
             F.col("u_n"), F.col("u_t"), F.col("v_n"), F.col("v_t"), s)).select("u", "v")
+    sharper = in_large.join(uncommon, "node", "left").withColumn(
+        "t", F.least("t", F.col("n") - F.coalesce("uncommon", F.lit(0))))
     small = entries.join(large, "key", "left_anti")
-    sharper = in_large.join(common, "node", "left").withColumn("t", F.least("t", F.coalesce("common", F.lit(0))))
     return pairs, small.unionByName(sharper.select(small.columns))
 
 
+def _with_components(entries: DataFrame, found: DataFrame | None) -> DataFrame:
+    if found is None:
+        return entries.withColumn("component", F.col("node"))
+    return entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def _links(entries: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | None:
     """Components (node, component) of all classes that verified links connect within buckets; None without links."""
     columns = ["key", "node", "n", "t", "component"]
+    links, found = None, None
 
-    def open_(df: DataFrame) -> DataFrame:
-        return materialize(_still_open(df, s).select(columns), "entries")
+    def verify(pairs: DataFrame) -> None:
+        nonlocal links, found
+        new = materialize(_verified(materialize(pairs, "candidates"), sets, s), "verified")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            found = materialize(components(links), "components")
 
-    entries, links, found, step = open_(entries.withColumn("component", F.col("node"))), None, None, 0
+    # First round: the member with the fewest shingles of its own is its bucket's hub.
+    least = F.min(F.struct((F.col("n") - F.col("t")).alias("own"), "node", "n", "t"))
+    hubs = materialize(entries.groupBy("key").agg(least.alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1"), "hubs")
+    met = materialize(entries.join(hubs, "key").where("node != hub.node"), "met")
+    may = _may_link(F.col("n"), F.col("t"), F.col("hub.n"), F.col("hub.t"), s)
+    verify(met.where(may).select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct())
+    # A hub has met all members of its bucket and leaves it.  What is left goes on where components differ.
+    rest = materialize(_with_components(met.where("k > 2").select(*columns[:-1]), found).select(columns), "entries")
+    entries = materialize(_still_open(rest, s).select(columns), "entries")
+
+    step = 0
     while not entries.isEmpty():
         more = None
-        if step == 1:
+        if step == 0:
             more, entries = _refined(entries, sets, s)
-            entries = open_(entries)
-        if step:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("n") - F.col("t"), "node"))
-            hubs = entries.withColumn("rank", rank).where(F.col("rank") <= s.hubs[min(step, len(s.hubs) - 1)])
-        else:
-            first = F.min(F.struct((F.col("n") - F.col("t")).alias("own"), "node", "n", "t", "component"))
-            hubs = entries.groupBy("key").agg(first.alias("m")).select("key", "m.*")
+            if more is not None:
+                entries = materialize(_still_open(materialize(entries, "entries"), s).select(columns), "entries")
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("n") - F.col("t"), "node"))
+        hubs = entries.withColumn("rank", rank).where(F.col("rank") <= s.hubs[min(step, len(s.hubs) - 1)])
         hubs = materialize(hubs.select(columns), "hubs")
         pairs = _candidates(entries, hubs, s)
-        pairs = materialize(pairs if more is None else pairs.unionByName(more).distinct(), "candidates")
-        new = materialize(_verified(pairs, sets, s), "verified")
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            found = materialize(components(links), "components")
-        # Hubs have met all members of their buckets; what is left goes on where components differ.
+        verify(pairs if more is None else pairs.unionByName(more).distinct())
         rest = entries.join(hubs.select("key", "node"), ["key", "node"], "left_anti").drop("component")
-        if found is not None:
-            rest = rest.join(found, "node", "left")
-        else:
-            rest = rest.withColumn("component", F.lit(None).cast("long"))
-        entries = open_(materialize(rest.withColumn("component", F.coalesce("component", "node")).select(columns),
-                                    "entries"))
+        rest = materialize(_with_components(rest, found).select(columns), "entries")
+        entries = materialize(_still_open(rest, s).select(columns), "entries")
         step += 1
     return found
 
