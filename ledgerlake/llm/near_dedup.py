@@ -19,11 +19,12 @@ the defaults two sets of similarity 0.8 share a key with probability above
 4. In each bucket (classes with equal key) the class with the fewest
    shingles of its own is the hub, and every member that may reach the
    similarity is verified against it on full sets.  Links become components.
-   Buckets that still hold several components give up their hub, which has
-   met every member.  Small ones then compare all members; in large ones
-   classes that share a rare shingle are compared, which sharpens the bound
-   for all other pairs to the shingles that many have, and hubs go on, more a
-   round, until no bucket has two components that might link.  So every pair
+   What is left goes on in the buckets of the first collection's small hashes
+   alone, which hold every pair that shares a key.  Buckets with several
+   components compare all members if they are small; in large ones classes
+   that share a rare shingle are compared, which sharpens the bound for all
+   other pairs to the shingles that many have, and hubs go on, more a round,
+   until no bucket has two components that might link.  So every pair
    of different texts that shares a key is verified, ruled out by an exact
    bound, or already connected, without pairing all members of a bucket, and
    without a cap.
@@ -43,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.joins import bounded_rows
 from .common import materialize, pick
 from .graph import components
 
@@ -55,6 +57,7 @@ class Settings:
     groups: int = 12             # small hashes in each of the two collections
     hubs: tuple = (64, 512)      # of a bucket in the rounds after the first; the last holds for all others
     rare: int = 32               # shingles of fewer open classes pair these directly, see _rare_pairs
+    broadcast_pairs: int = 200_000  # most candidate pairs that are broadcast (two numbers each)
     seed: int = 5
 
 
@@ -167,16 +170,20 @@ def _sets(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     return materialize(found.mapInArrow(_set_batches(s), "node long, members array<long>"), "sets")
 
 
-def _entries(shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Bucket entries (key, node, n, t) of classes that can link; t counts shingles that others have too."""
+def _alive(shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """(node, n, t, a, b) of the classes that can link; t counts shingles that other classes have too."""
     holders = sets.select("node", F.explode("members").alias("shingle")).groupBy("shingle").agg(
         F.count(F.lit(1)).alias("k"), F.min("node").alias("node"))
     own = materialize(holders.where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own")), "own-shingles")
     sized = sets.select("node", F.size("members").cast("long").alias("n")).join(own, "node", "left")
     sized = sized.withColumn("t", F.col("n") - F.coalesce(F.col("own"), F.lit(0))).drop("own")
-    alive = shared.join(sized.where(100 * F.col("t") >= s.percent * F.col("n")), "node")
+    return materialize(shared.join(sized.where(100 * F.col("t") >= s.percent * F.col("n")), "node"), "alive")
+
+
+def _table_entries(alive: DataFrame) -> DataFrame:
+    """Bucket entries (key, node, n, t): a key for every pair of small hashes, one of either collection."""
     keys = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
-    return materialize(alive.select("node", "n", "t", F.explode(keys).alias("key")), "entries")
+    return alive.select("node", "n", "t", F.explode(keys).alias("key"))
 
 
 def _may_link(n1: Column, t1: Column, n2: Column, t2: Column, s: Settings) -> Column:
@@ -194,12 +201,20 @@ def _candidates(entries: DataFrame, hubs: DataFrame, s: Settings) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
+    """The pairs whose full sets reach the similarity.
+
+    Up to ``broadcast_pairs`` pairs (counted) are broadcast, which picks their
+    sets without a shuffle; more are joined by shuffles.
+    """
+    if bounded_rows(pairs, s.broadcast_pairs):
+        nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+        sets = sets.join(F.broadcast(nodes.distinct()), "node", "left_semi")
+        pairs = F.broadcast(pairs)
     left = sets.select(F.col("node").alias("u"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("v"), F.col("members").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - both
-    return pairs.join(left, "u").join(right, "v").where(100 * both >= s.percent * union).select("u", "v").distinct()
+    return left.join(pairs, "u").join(right, "v").where(100 * both >= s.percent * union).select("u", "v").distinct()
 
 
 def _still_open(entries: DataFrame, s: Settings) -> DataFrame:
@@ -264,8 +279,8 @@ def _with_components(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     return entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _links(entries: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | None:
-    """Components (node, component) of all classes that verified links connect within buckets; None without links."""
+def _links(alive: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | None:
+    """Components (node, component) of all classes that verified links connect; None without links."""
     columns = ["key", "node", "n", "t", "component"]
     links, found = None, None
 
@@ -276,16 +291,20 @@ def _links(entries: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | None
             links = new if links is None else links.unionByName(new)
             found = materialize(components(links), "components")
 
-    # First round: the member with the fewest shingles of its own is its bucket's hub.
+    # First round, in the tables: the member with the fewest shingles of its own is its bucket's hub.
+    entries = _table_entries(alive)
     least = F.min(F.struct((F.col("n") - F.col("t")).alias("own"), "node", "n", "t"))
-    hubs = materialize(entries.groupBy("key").agg(least.alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1"), "hubs")
-    met = materialize(entries.join(hubs, "key").where("node != hub.node"), "met")
-    may = _may_link(F.col("n"), F.col("t"), F.col("hub.n"), F.col("hub.t"), s)
-    verify(met.where(may).select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct())
-    # A hub has met all members of its bucket and leaves it.  What is left goes on where components differ.
-    rest = materialize(_with_components(met.where("k > 2").select(*columns[:-1]), found).select(columns), "entries")
+    hubs = materialize(entries.groupBy("key").agg(least.alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1")
+                       .select("key", "hub"), "hubs")
+    met = entries.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & _may_link(
+        F.col("n"), F.col("t"), F.col("hub.n"), F.col("hub.t"), s))
+    verify(met.select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct())
+
+    # What is left goes on in the buckets of the first collection alone: they hold every pair that the
+    # tables hold, in groups fewer entries.  Hubs that have met all members of their bucket leave it.
+    entries = alive.select("node", "n", "t", F.explode("a").alias("key"))
+    rest = materialize(_with_components(entries, found).select(columns), "entries")
     entries = materialize(_still_open(rest, s).select(columns), "entries")
-
     step = 0
     while not entries.isEmpty():
         more = None
@@ -315,7 +334,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     classes = materialize(_classes(signatures), "classes")
     shared = _shared(classes, s)
     sets = _sets(src, shared, s)
-    found = _links(_entries(shared, sets, s), sets, s)
+    found = _links(_alive(shared, sets, s), sets, s)
     names = classes.select("digest", "node")
     if found is None:
         names = names.withColumn("component", F.col("node"))
