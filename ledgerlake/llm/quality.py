@@ -212,7 +212,8 @@ def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", l
     found = references(histograms(docs, rules, text_col, _ll_lang=F.col(f"`{lang_col}`")), rules)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     done = verdict(measured(docs, rules, text_col, _ll_row=row), found, rules)
-    return done.where("_ll_kept").select(*[F.col("_ll_row").getField(c).alias(c) for c in docs.columns])
+    # As a generator, since a filter would be pushed below the counts and evaluate them again and again.
+    return done.select(F.inline(F.when(F.col("_ll_kept"), F.array("_ll_row"))))
 
 
 def op9_quality_rules(docs: DataFrame) -> DataFrame:
