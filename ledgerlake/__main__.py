@@ -1,12 +1,14 @@
-"""Command line: build the marts, or run the data-quality checks.
+"""Command line: build the marts, load an increment, or run the data-quality checks.
 
     spark-submit --py-files ledgerlake.zip run_ledgerlake.py run  --raw <dir|schema> --out <shared dir> [--as-of YYYY-MM-DD]
-    spark-submit --py-files ledgerlake.zip run_ledgerlake.py test --raw <dir|schema>
+    spark-submit --py-files ledgerlake.zip run_ledgerlake.py load --raw <dir|schema> --out <shared dir> [--as-of YYYY-MM-DD]
+    spark-submit --py-files ledgerlake.zip run_ledgerlake.py test --raw <dir|schema> [--select TABLE ...]
 
 ``--raw`` holds one table per name (customers, accounts, transactions,
 loan_applications): folders under a path, or tables of a catalog schema with
-``--format table``.  The session comes from ``getOrCreate`` so the cluster's
-own configuration applies.
+``--format table``.  The session comes from ``getOrCreate``; the settings that
+results and scale depend on (time zone, ANSI mode, AQE, shuffle sizes from
+the input's volume) are applied to it.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .catalog import DQ_ACCEPTED, DQ_NOT_NULL, DQ_RELATIONSHIPS, DQ_UNIQUE
+from .catalog import DQ_ACCEPTED, DQ_MODEL_UNIQUE, DQ_NOT_NULL, DQ_RELATIONSHIPS
+from .config import apply_settings, input_bytes
 from .operators.quality import run_checks
+from .plans.load import current_run, load
 from .plans.pipeline import Models, run_pipeline
 from .sources.raw import read_raw, read_seed
 
@@ -33,14 +37,21 @@ def _raw(spark: SparkSession, where: str, fmt: str) -> dict:
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="ledgerlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("run", "test"):
+    for name in ("run", "load", "test"):
         p = sub.add_parser(name)
         p.add_argument("--raw", required=True)
         p.add_argument("--format", default="parquet")
         p.add_argument("--seed", default=None, help="headed CSV of the city lookup (default: built-in rows)")
         p.add_argument("--as-of", default=None, help="evaluation date (default: today)")
-        if name == "run":
+        p.add_argument("--input-bytes", type=int, default=None,
+                       help="volume that sizes the shuffles (default: the size of the raw tables)")
+        if name != "test":
             p.add_argument("--out", required=True, help="shared output folder")
+        else:
+            p.add_argument("--select", nargs="*", default=None, help="tables to check (default: all)")
+            p.add_argument("--accepted", action="store_true", help="check accepted values too")
+        if name == "run":
+            p.add_argument("--schema", default=None, help="write the marts as tables of this catalog schema")
             p.add_argument("--no-materialize-staging", action="store_true")
     args = ap.parse_args(argv)
 
@@ -48,18 +59,30 @@ def main(argv=None) -> int:
     spark = (SparkSession.builder.appName(f"ledgerlake-{args.cmd}")
              .config("spark.ui.enabled", "false").getOrCreate())
     raw = _raw(spark, args.raw, args.format)
+    apply_settings(spark, args.input_bytes or input_bytes(raw.values()))
     cities = read_seed(spark, args.seed)
     if args.cmd == "run":
         marts = run_pipeline(spark, raw, cities, args.out, args.as_of,
-                             materialize_staging=not args.no_materialize_staging)
-        for name, df in marts.items():
-            print(f"{name}: written to {os.path.join(args.out, 'mart', name)}")
+                             materialize_staging=not args.no_materialize_staging, schema=args.schema)
+        for name in marts:
+            print(f"{name}: written to {f'{args.schema}.{name}' if args.schema else os.path.join(args.out, 'mart', name)}")
+        return 0
+    if args.cmd == "load":
+        load(spark, raw, cities, args.out, args.as_of)
+        print(f"loaded: {current_run(spark, args.out)}")
         return 0
 
-    frames = {**raw, **{n: Models(raw, cities, args.as_of)[n]
-                        for n in ("stg_customers", "stg_accounts", "stg_transactions", "stg_loans")}}
-    result = run_checks(frames, unique=DQ_UNIQUE, not_null=DQ_NOT_NULL,
-                        relationships=DQ_RELATIONSHIPS, accepted=DQ_ACCEPTED)
+    models = Models(raw, cities, args.as_of)
+    names = {t for t, _ in DQ_MODEL_UNIQUE} | {t for t, *_ in DQ_ACCEPTED} | set(raw)
+    chosen = set(args.select or names)
+    if chosen - names:
+        ap.error(f"unknown tables: {', '.join(sorted(chosen - names))}")
+    frames = {n: raw[n] if n in raw else cities if n == "nz_cities" else models[n] for n in names}
+    pick = lambda checks: [c for c in checks if c[0] in chosen]
+    # Raw tables hold every extracted version of a row: uniqueness is checked from the staged tables on.
+    result = run_checks(frames, unique=pick(DQ_MODEL_UNIQUE), not_null=pick(DQ_NOT_NULL),
+                        relationships=pick(DQ_RELATIONSHIPS),
+                        accepted=pick(DQ_ACCEPTED) if args.accepted else [])
     rows = result.orderBy("check_name", "table_name", "column_name").collect()
     failed = 0
     for r in rows:

@@ -26,7 +26,7 @@ from .operators.dedup import distinct_rows, keep_latest
 from .operators.joins import bounded_rows, broadcast_row_limit
 from .plans import intermediate as I
 from .plans import marts as M
-from .plans.pipeline import Models
+from .plans.pipeline import Models, fct_transactions_incremental
 from .sources import sinks
 from .sources import testviews as tv
 from .sources.raw import read_seed
@@ -151,13 +151,13 @@ def _insert_if_absent(x: Inputs) -> DataFrame:
 
 @query("fct_transactions_incremental")
 def _fct_transactions_incremental(x: Inputs) -> DataFrame:
-    """The fact loaded in two runs: up to the cut, then everything newer, merged by id."""
-    from .plans.pipeline import fct_transactions_incremental
-    from .plans import staging as ST
-    raw = x.raw["transactions"]
-    first = raw.where(F.col("transaction_date") <= F.lit(tv.INCREMENTAL_CUTS["transactions"]).cast("timestamp_ntz"))
-    existing = M.fct_transactions(ST.stg_transactions(first), x.m["stg_accounts"], x.m["stg_customers"], x.cities)
-    return fct_transactions_incremental(existing, raw, x.m["stg_accounts"], x.m["stg_customers"], x.cities)
+    """The fact loaded in two runs: what had been modified up to the cuts, then everything newer."""
+    first = {}
+    for t in tv.RAW_NAMES:
+        cut = F.lit(tv.INCREMENTAL_CUTS[t]).cast("timestamp_ntz")
+        first[t] = x.raw[t].where(~F.coalesce(F.col("last_modified_date") > cut, F.lit(False)))
+    existing = Models(first, x.cities, AS_OF)["fct_transactions"]
+    return fct_transactions_incremental(existing, x.raw, x.cities, tv.INCREMENTAL_CUTS, AS_OF)
 
 
 # ---------------------------------------------------------------- projections and scalars
@@ -538,6 +538,17 @@ DQ_ACCEPTED = [
 ]
 
 
+DQ_MODEL_UNIQUE = [("stg_customers", "customer_id"), ("stg_accounts", "account_id"), ("stg_loans", "application_id"),
+                   ("stg_transactions", "transaction_id"), ("dim_customers", "customer_id"),
+                   ("fct_transactions", "transaction_id"), ("nz_cities", "city_name")]
+
+
+@query("dq_unique_models")
+def _dq_unique_models(x):
+    """Keys of the staged tables, the marts and the seed."""
+    return Q.run_checks({**{t: x.m[t] for t, _ in DQ_MODEL_UNIQUE[:-1]}, "nz_cities": x.cities}, unique=DQ_MODEL_UNIQUE)
+
+
 @query("dq_unique")
 def _dq_unique(x):
     return Q.run_checks(x.raw, unique=DQ_UNIQUE)

@@ -22,7 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Session for tests and the local bench (never used on a cluster)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g")
+               .config("spark.driver.memory", "8g")
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerlake-warehouse-"))
                .config("spark.ui.showConsoleProgress", "false"))
     for key, value in SESSION_DEFAULTS.items():
@@ -68,3 +68,17 @@ def settings_for_volume(input_bytes: int, partition_bytes: int = 256 * 1024 ** 2
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
+
+
+def input_bytes(frames) -> int:
+    """Summed size of the frames' inputs as the optimizer estimates it (file sizes for scans)."""
+    return sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames)
+
+
+def apply_settings(spark: SparkSession, volume: int) -> dict[str, str]:
+    """Sets the session defaults and the sizes for ``volume`` bytes of input; returns what was set."""
+    settings = {k: v for k, v in SESSION_DEFAULTS.items() if k.startswith("spark.sql.")}
+    settings |= settings_for_volume(volume)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings

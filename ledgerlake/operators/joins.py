@@ -1,10 +1,8 @@
-"""Left lookups, with broadcast only behind a size check."""
+"""Size checks that stand before a broadcast."""
 
 from __future__ import annotations
 
 import weakref
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,37 +39,15 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
     Uses the recorded count when the frame's size is known by construction;
-    otherwise reads at most ``max_rows + 1`` rows, so the check stays cheap.
+    otherwise counts the rows.  Each task sends its count, never rows.
     """
     known = _KNOWN_ROWS.get(df)
-    if known is not None:
-        return known <= max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+    if known is None:
+        known = df.agg(F.count(F.lit(1))).first()[0]
+    return known <= max_rows
 
 
 def broadcast_row_limit(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                         max_bytes: int = BROADCAST_MAX_BYTES) -> int:
     """Rows of ``df`` that fit both the row and the byte budget."""
     return min(max_rows, max_bytes // row_bytes(df))
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if bounded_rows(df, broadcast_row_limit(df, max_rows)) else df
-
-
-def left_lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str | None = None,
-                cols: Sequence[str] | None = None, broadcast: bool = False,
-                max_rows: int = BROADCAST_MAX_ROWS, keep_key: str | None = None) -> DataFrame:
-    """``df LEFT JOIN dim ON df.left_on = dim.right_on``, keeping ``cols`` of dim.
-
-    Every row of ``df`` survives.  The dim key is dropped unless ``keep_key``
-    names an output column for it (NULL there marks a lookup miss).
-    """
-    right_on = right_on or left_on
-    keep = [c for c in (cols or dim.columns) if c != right_on]
-    key_alias = "_lookup_key"
-    small = dim.select(F.col(right_on).alias(key_alias), *keep)
-    if broadcast:
-        small = maybe_broadcast(small, max_rows)
-    joined = df.join(small, df[left_on] == small[key_alias], "left")
-    return joined.withColumnRenamed(key_alias, keep_key) if keep_key else joined.drop(key_alias)

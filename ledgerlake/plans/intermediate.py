@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands as B
 from ..functions import scalars as S
-from ..operators.joins import bounded_rows, broadcast_row_limit, left_lookup
+from ..operators.joins import bounded_rows, broadcast_row_limit
 
 CUSTOMER_ATTRS = ("customer_name", "customer_segment", "kyc_status")
 
@@ -77,10 +77,9 @@ def accounts_with_customer(stg_accounts: DataFrame, stg_customers: DataFrame,
 def city_lookup(cities: DataFrame) -> DataFrame:
     """The city seed keyed by name, broadcast when its size is proven small.
 
-    City names are unique in the seed (checked by the data-quality suite), so
-    the lookup never multiplies rows.
+    A name listed twice counts once, so the lookup never multiplies rows.
     """
-    keys = cities.select(F.col("city_name").alias("_city"))
+    keys = cities.select(F.col("city_name").alias("_city")).distinct()
     return F.broadcast(keys) if bounded_rows(cities, broadcast_row_limit(cities)) else keys
 
 
@@ -118,15 +117,18 @@ def int_transactions_enriched(stg_accounts: DataFrame, stg_customers: DataFrame,
     t = stg_transactions.select(*TX_COLS, "merchant_category", "fraud_score", "merchant_city")
     cities_b = city_lookup(cities)
 
-    matched = (t.join(ac, "account_id", "inner")
+    # Null-safe equality: plain equality would push "account id is not null" below the
+    # accounts' dedup in this branch only, and the accounts would be planned twice.
+    known = t.where(F.col("account_id").isNotNull())
+    matched = (known.join(ac.withColumnRenamed("account_id", "_ac_id"), F.col("account_id").eqNullSafe(F.col("_ac_id")))
                 .join(cities_b, F.col("merchant_city") == F.col("_city"), "left"))
     matched = matched.select(
         *TX_COLS, *ACCOUNT_OUT,
         *transaction_flags(F.col("abs_amount"), F.col("merchant_category"),
                            F.col("fraud_score"), F.col("_city")))
 
-    used_accounts = t.select("account_id").where(F.col("account_id").isNotNull()).distinct()
-    phantoms = ac.join(used_accounts, "account_id", "left_anti")
+    used_accounts = known.select(F.col("account_id").alias("_used_id")).distinct()
+    phantoms = ac.join(used_accounts, F.col("account_id").eqNullSafe(F.col("_used_id")), "left_anti")
     null = F.lit(None)
     phantoms = phantoms.select(
         null.cast("string").alias("transaction_id"),
@@ -138,17 +140,3 @@ def int_transactions_enriched(stg_accounts: DataFrame, stg_customers: DataFrame,
         *transaction_flags(null.cast(stg_transactions.schema["abs_amount"].dataType),
                            null.cast("string"), null.cast("decimal(5,2)"), null.cast("string")))
     return matched.unionByName(phantoms)
-
-
-def int_transactions_enriched_literal(stg_accounts: DataFrame, stg_customers: DataFrame,
-                                      stg_transactions: DataFrame, cities: DataFrame) -> DataFrame:
-    """The same model as three chained left joins (reference shape; for tests)."""
-    ac = accounts_with_customer(stg_accounts, stg_customers)
-    t = stg_transactions.select(*TX_COLS, "merchant_category", "fraud_score", "merchant_city")
-    j = ac.alias("a").join(t.alias("t"), F.col("a.account_id") == F.col("t.account_id"), "left")
-    j = left_lookup(j, cities, "merchant_city", "city_name", cols=[], broadcast=True, keep_key="_city")
-    return j.select(
-        *[F.col(f"t.{n}").alias(n) for n in TX_COLS],
-        *[F.col(f"a.{n}").alias(n) for n in ACCOUNT_OUT],
-        *transaction_flags(F.col("t.abs_amount"), F.col("t.merchant_category"),
-                           F.col("t.fraud_score"), F.col("_city")))

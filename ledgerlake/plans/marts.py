@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..functions import scalars as S
 from ..operators import aggregates as A
-from .intermediate import accounts_with_customer, city_lookup, int_transactions_enriched
+from .intermediate import accounts_with_customer, city_lookup
 
 # Staging is unique by its key, so ``count(distinct key)`` per customer equals
 # ``count(key)`` (NULL keys are ignored by both).  The plain count avoids the
@@ -193,29 +193,3 @@ def fct_transactions(stg_transactions: DataFrame, stg_accounts: DataFrame,
         size_band.alias("amount_band"),
         F.col("ac.last_modified_date").alias("last_modified_date"),
     )
-
-
-def fct_transactions_literal(stg_transactions: DataFrame, stg_accounts: DataFrame,
-                             stg_customers: DataFrame, cities: DataFrame) -> DataFrame:
-    """Reference shape: re-join the enriched transactions by id (for tests)."""
-    ac = accounts_with_customer(stg_accounts, stg_customers, FACT_ACCOUNT_COLS).alias("ac")
-    te = int_transactions_enriched(stg_accounts, stg_customers, stg_transactions, cities).select(
-        F.col("transaction_id").alias("te_id"), "transaction_size_band", "is_fraud", "is_gambling",
-        "is_crypto", "is_overseas").alias("te")
-    t = stg_transactions.alias("t")
-    j = (t.join(ac, F.col("t.account_id") == F.col("ac.account_id"), "left")
-          .join(te, F.col("t.transaction_id") == F.col("te.te_id"), "left"))
-    return j.select(
-        F.col("t.transaction_id").alias("transaction_id"),
-        F.col("t.account_id").alias("account_id"),
-        *[F.col(f"ac.{n}").alias(n) for n in ("customer_id", "customer_name", "customer_segment",
-                                                "kyc_status", "account_type", "account_number",
-                                                "product_name")],
-        *[F.col(f"te.{n}").alias(n) for n in ("transaction_size_band", "is_fraud", "is_gambling",
-                                                "is_crypto", "is_overseas")],
-        *[F.col(f"t.{n}").alias(n) for n in FACT_TX_COLS],
-        B.transaction_risk_level("te.is_fraud", "te.is_overseas", "te.is_gambling", "t.fraud_score")
-         .alias("transaction_risk_level"),
-        B.transaction_size_band("t.abs_amount").alias("amount_band"),
-        F.col("ac.last_modified_date").alias("last_modified_date"),
-    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import intermediate as I
 from . import marts as M
@@ -54,71 +55,87 @@ def build_all(raw: dict[str, DataFrame], cities: DataFrame, as_of=None) -> dict[
 
 
 STAGING = ("stg_customers", "stg_accounts", "stg_loans", "stg_transactions")
+MARTS = ("dim_customers", "fct_transactions")
+# Fixed value: the property that the source sets on its fact table.
+MART_PROPERTIES = {"fct_transactions": {"delta.columnMapping.mode": "name"}}
 MART_PARTITIONS = {"fct_transactions": ("transaction_year", "transaction_month")}
 
 
+def require_unique_cities(cities: DataFrame) -> None:
+    """Fails if the city seed names a city twice."""
+    twice = cities.groupBy("city_name").count().where("count > 1").select("city_name").first()
+    if twice:
+        raise ValueError(f"the city seed names {twice[0]!r} more than once")
+
+
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], cities: DataFrame, out_dir: str,
-                 as_of=None, materialize_staging: bool = True) -> dict[str, DataFrame]:
+                 as_of=None, materialize_staging: bool = True, schema: str | None = None) -> dict[str, DataFrame]:
     """Build and write the marts (full overwrite), returning them read back.
 
+    The staged and enriched models are registered as views.  With ``schema``
+    the marts become tables of that catalog schema, with their properties;
+    otherwise they are folders under ``out_dir``.
+
     ``out_dir`` must be storage every executor shares (e.g. the folder named
     by ``spark.checkpoint.dir``).  With ``materialize_staging`` the staged
     tables are written first and the marts are planned from those files:
     the dedup shuffles run once per run instead of once per mart, and a lost
     executor recomputes from the written staging rather than from raw.
     """
-    from ..sources.sinks import read_back, write_table
+    from ..sources.sinks import read_back, register_views, write_table
 
+    require_unique_cities(cities)
     staged = Models(raw, cities, as_of)
     if materialize_staging:
         for name in STAGING:
             path = os.path.join(out_dir, "staging", name)
             write_table(staged[name], path)
             staged[name] = read_back(spark, path, staged[name])
+    register_views({name: staged[name] for name in MODEL_ORDER if name not in MARTS})
     out = {}
-    for name in ("dim_customers", "fct_transactions"):
-        path = os.path.join(out_dir, "mart", name)
-        write_table(staged[name], path, partition_by=MART_PARTITIONS.get(name, ()))
-        out[name] = read_back(spark, path, staged[name])
+    for name in MARTS:
+        partitions, properties = MART_PARTITIONS.get(name, ()), MART_PROPERTIES.get(name)
+        if schema:
+            write_table(staged[name], f"{schema}.{name}", partitions, properties, as_table=True)
+            out[name] = spark.table(f"{schema}.{name}").select(*staged[name].columns)
+        else:
+            path = os.path.join(out_dir, "mart", name)
+            write_table(staged[name], path, partitions)
+            out[name] = read_back(spark, path, staged[name])
     return out
 
 
-# Ids of an increment broadcast to the existing fact: 1M string ids (~64 MB).
-KEY_BROADCAST_ROWS = 1_000_000
-
-
-def max_loaded(existing: DataFrame, ts_col: str):
-    """The newest timestamp already in a table (one scalar; None when empty)."""
-    from pyspark.sql import functions as F
-    return existing.agg(F.max(ts_col)).first()[0]
-
+def fct_transactions_incremental(existing_fct: DataFrame, raw: dict[str, DataFrame], cities: DataFrame,
+                                 since, as_of=None) -> DataFrame:
+    """The fact after an increment, equal to a full rebuild from ``raw``.
 
-def fct_transactions_incremental(existing_fct: DataFrame, raw_transactions: DataFrame,
-                                 stg_accounts: DataFrame, stg_customers: DataFrame,
-                                 cities: DataFrame, since=None) -> DataFrame:
-    """Incremental fact build keyed by ``transaction_id``.
+    ``since`` maps customers, accounts and transactions to their bookmarks
+    (modification times).  ``existing_fct`` must be the fact of the raw rows
+    up to them.  Rebuilt are the transactions that
 
-    Only raw transactions newer than the newest ``transaction_date`` already
-    in the fact are staged and enriched; their rows replace rows with the
-    same id and the rest are inserted.  A re-extracted transaction in the new
-    batch is newer than any version already loaded, so the result equals a
-    full rebuild (rows with a NULL timestamp are never picked up, as with any
-    timestamp bookmark).
+    * have a raw version modified after the bookmark (late rows and changes
+      of any date; all their versions are read, so the staging order decides
+      which one is the latest), or
+    * stand in the fact under an account that was modified since, or whose
+      customer was.
 
-    ``since`` is the bookmark, e.g. from the watermark table
-    (``operators.incremental.watermark_of``); without it the newest
-    ``transaction_date`` in the fact is read (a one-column scan).
+    Ids are matched null-safely.  Left out on purpose, as in the source's
+    extract (strict ``>``): raw rows whose modification time is NULL or not
+    after the bookmark, and changes of the city seed, which need a full build.
     """
+    from ..functions.scalars import id_to_string
     from ..operators.incremental import extract_since, upsert
 
-    from ..operators.joins import bounded_rows
-
-    if since is None:
-        since = max_loaded(existing_fct, "transaction_date")
-    new_tx = extract_since(raw_transactions, "transaction_date", since)
-    delta = M.fct_transactions(S.stg_transactions(new_tx), stg_accounts, stg_customers, cities)
-    # The delta has at most as many ids as raw rows past the bookmark; that
-    # count is a cheap filtered scan, so it decides whether the ids can be
-    # broadcast (the existing fact is then not shuffled at all).
-    small = bounded_rows(new_tx.select("transaction_id"), KEY_BROADCAST_ROWS)
-    return upsert(existing_fct, delta, ["transaction_id"], broadcast_new_keys=small)
+    changed = {t: extract_since(raw[t], "last_modified_date", since[t]) for t in ("customers", "accounts", "transactions")}
+    accounts = S.stg_accounts(raw["accounts"], as_of)
+    customers = changed["customers"].select(F.col("customer_id").alias("_customer")).distinct()
+    of_customers = accounts.join(customers, F.col("customer_id") == F.col("_customer"), "left_semi")
+    touched_accounts = (changed["accounts"].select("account_id").unionByName(of_customers.select("account_id"))
+                        .distinct().withColumnRenamed("account_id", "_account"))
+    stale = existing_fct.join(touched_accounts, F.col("account_id") == F.col("_account"), "left_semi")
+    ids = (changed["transactions"].select(id_to_string("transaction_id").alias("_id"))
+           .unionByName(stale.select(F.col("transaction_id").alias("_id"))).distinct())
+    versions = raw["transactions"].join(ids, id_to_string("transaction_id").eqNullSafe(F.col("_id")), "left_semi")
+    delta = M.fct_transactions(S.stg_transactions(versions), accounts, S.stg_customers(raw["customers"], as_of), cities)
+    kept = existing_fct.join(ids, F.col("transaction_id").eqNullSafe(F.col("_id")), "left_anti")
+    return kept.unionByName(delta)

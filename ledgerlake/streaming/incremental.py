@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +37,10 @@ def _paths(target_dir: str) -> tuple[str, str]:
 def run_incremental_load(spark: SparkSession, source_dir: str, schema: StructType, table: str,
                          keys: Sequence[str], order_by: Sequence[str], ts_col: str,
                          target_dir: str, checkpoint_dir: str,
-                         max_files_per_trigger: int | None = None) -> None:
+                         max_files_per_trigger: int = 256) -> None:
     """Process every raw file not yet seen, then stop (``availableNow``)."""
     changes, marks = _paths(target_dir)
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # A micro-batch is bounded (maxFilesPerTrigger); keep it for its two
@@ -51,9 +49,11 @@ def run_incremental_load(spark: SparkSession, source_dir: str, schema: StructTyp
         batch.persist()
         try:
             latest = keep_latest(batch, keys, order_by)
-            latest.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("append").parquet(changes)
+            (latest.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+             .write.mode("append").partitionBy(BATCH_COL).parquet(changes))
             run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-            batch_watermark(batch, table, ts_col, run_ts).write.mode("append").parquet(marks)
+            (batch_watermark(batch, table, ts_col, run_ts).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+             .write.mode("append").parquet(marks))
         finally:
             batch.unpersist()
 
@@ -65,17 +65,57 @@ def run_incremental_load(spark: SparkSession, source_dir: str, schema: StructTyp
 
 def current_state(spark: SparkSession, target_dir: str, schema: StructType,
                   keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The upserted table: latest row per key over every loaded batch."""
+    """The upserted table: latest row per key over the newest snapshot and the batches after it."""
     changes, _ = _paths(target_dir)
     with_batch = StructType(list(schema.fields) + [StructField(BATCH_COL, LongType())])
-    log = spark.read.schema(with_batch).parquet(changes).drop(BATCH_COL)
-    return keep_latest(log, keys, order_by)
+    log = spark.read.schema(with_batch).parquet(changes)
+    done = _newest_snapshot(spark, target_dir)
+    if done is not None:
+        path, upto = done
+        snapshot = spark.read.schema(schema).parquet(path)
+        log = log.where(F.col(BATCH_COL) > upto)  # a partition column: older batches aren't read
+        return keep_latest(log.drop(BATCH_COL).unionByName(snapshot), keys, order_by)
+    return keep_latest(log.drop(BATCH_COL), keys, order_by)
+
+
+SNAPSHOT_SCHEMA = "path string, upto long"
+
+
+def _newest_snapshot(spark: SparkSession, target_dir: str) -> tuple[str, int] | None:
+    """(path, last batch) of the snapshot that covers most batches; None without one."""
+    marks = os.path.join(target_dir, "snapshots", "marks")
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(marks)
+    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
+        return None
+    row = spark.read.schema(SNAPSHOT_SCHEMA).parquet(marks).agg(F.max(F.struct("upto", "path")).alias("m")).first()[0]
+    return (row["path"], row["upto"]) if row else None
+
+
+def compact(spark: SparkSession, target_dir: str, schema: StructType, keys: Sequence[str],
+            order_by: Sequence[str]) -> None:
+    """Writes the current state as a snapshot; later reads take it and only the batches after it.
+
+    The snapshot counts from its mark on, which is written last, so a failed
+    compaction changes nothing.  Run it between loads.
+    """
+    changes, _ = _paths(target_dir)
+    upto = spark.read.schema(StructType([StructField(BATCH_COL, LongType())])).parquet(changes).agg(
+        F.max(BATCH_COL)).first()[0]
+    if upto is None:
+        return
+    path = os.path.join(target_dir, "snapshots", uuid.uuid4().hex)
+    current_state(spark, target_dir, schema, keys, order_by).write.parquet(path)
+    spark.range(1).select(F.lit(path).alias("path"), F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(
+        os.path.join(target_dir, "snapshots", "marks"))
 
 
 def watermarks(spark: SparkSession, target_dir: str) -> DataFrame:
     """Bookmark per table: the latest batch's maximum timestamp and the rows loaded so far."""
     _, marks = _paths(target_dir)
     log = spark.read.parquet(marks)
+    # A replayed batch has marked itself more than once.
+    last = F.max_by(F.struct("last_watermark", "last_run_status", "rows_extracted", "last_run_date"), "last_run_date")
+    log = log.groupBy("table_name", BATCH_COL).agg(last.alias("m")).select("table_name", "m.*")
     return log.groupBy("table_name").agg(
         F.max("last_watermark").alias("last_watermark"),
         F.max_by("last_run_status", "last_run_date").alias("last_run_status"),

@@ -7,6 +7,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from tests import plain_shapes
 from ledgerlake import schemas
 from ledgerlake.catalog import AS_OF, Inputs
 from ledgerlake.operators.dedup import keep_latest
@@ -96,7 +97,7 @@ def test_int_transactions_phantoms_and_orphans(tiny):
     assert phantom[0].transaction_size_band == "LARGE" and phantom[0].is_overseas is True
     by = {r.transaction_id: r for r in rows}
     assert by["100"].is_overseas is False and by["101"].is_overseas is True and by["102"].is_overseas is False
-    lit = I.int_transactions_enriched_literal(tiny["sa"], tiny["sc"], tiny["st"], tiny["cities"])
+    lit = plain_shapes.int_transactions_enriched_literal(tiny["sa"], tiny["sc"], tiny["st"], tiny["cities"])
     assert rows_set(it) == rows_set(lit)
 
 
@@ -106,7 +107,7 @@ def test_fct_risk_levels_and_fusion(tiny):
     assert risk == {"100": "MEDIUM", "101": "MEDIUM", "102": "HIGH", "103": "HIGH", "104": "NORMAL"}
     orphan = f.where("transaction_id = '103'").first()
     assert orphan.is_fraud is None and orphan.customer_id is None
-    lit = M.fct_transactions_literal(tiny["st"], tiny["sa"], tiny["sc"], tiny["cities"])
+    lit = plain_shapes.fct_transactions_literal(tiny["st"], tiny["sa"], tiny["sc"], tiny["cities"])
     assert rows_set(f) == rows_set(lit)
 
 
@@ -128,9 +129,9 @@ def sf_models(spark):
 
 def test_rewrites_equal_literal_shapes_at_sf001(sf_models):
     m, x = sf_models.m, sf_models
-    lit = I.int_transactions_enriched_literal(m["stg_accounts"], m["stg_customers"], m["stg_transactions"], x.cities)
+    lit = plain_shapes.int_transactions_enriched_literal(m["stg_accounts"], m["stg_customers"], m["stg_transactions"], x.cities)
     assert rows_set(m["int_transactions_enriched"]) == rows_set(lit)
-    lit_f = M.fct_transactions_literal(m["stg_transactions"], m["stg_accounts"], m["stg_customers"], x.cities)
+    lit_f = plain_shapes.fct_transactions_literal(m["stg_transactions"], m["stg_accounts"], m["stg_customers"], x.cities)
     assert rows_set(m["fct_transactions"]) == rows_set(lit_f)
     # dim summaries from staged rows == summaries of the enriched models (the literal shape)
     a_lit = M.account_summary(m["int_accounts_enriched"])

@@ -5,6 +5,7 @@ from collections import Counter
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.config import shared_dir
@@ -159,9 +160,62 @@ def test_cli_run_and_test(spark, capsys):
                  "--as-of", "2002-01-01"]) == 0
     fct = spark.read.parquet(os.path.join(root, "out", "mart", "fct_transactions"))
     assert fct.count() == x.m["fct_transactions"].count()
-    assert main(["test", "--raw", os.path.join(root, "raw")]) == 1      # raw data carries duplicates
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true" and spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    models = ["stg_customers", "stg_accounts", "stg_loans", "stg_transactions", "dim_customers", "fct_transactions",
+              "nz_cities"]
+    raw = ["--raw", os.path.join(root, "raw")]
+    assert main(["test", *raw, "--select", *models]) == 0      # re-extracted versions are no duplicates
     out = capsys.readouterr().out
-    assert "FAIL unique(transactions.transaction_id)" in out and "PASS not_null(accounts.open_date)" in out
+    assert "PASS unique(stg_transactions.transaction_id)" in out and "PASS unique(nz_cities.city_name)" in out
+    assert main(["test", *raw, "--select", "transactions"]) == 1  # orphans among the raw rows
+    assert "FAIL relationships(transactions.account_id)" in capsys.readouterr().out
+    seed = os.path.join(root, "seed")
+    twice = read_seed(spark).limit(1)
+    read_seed(spark).unionByName(twice).coalesce(1).write.mode("overwrite").option("header", True).csv(seed)
+    assert main(["test", *raw, "--select", "nz_cities", "--seed", seed]) == 1
+    with pytest.raises(ValueError, match="more than once"):
+        main(["run", *raw, "--out", os.path.join(root, "out"), "--seed", seed])
+
+
+def test_settings_follow_the_volume(spark):
+    from ledgerlake.config import apply_settings, input_bytes
+    before = {k: spark.conf.get(k) for k in apply_settings(spark, 1)}
+    try:
+        apply_settings(spark, 100 * 1024 ** 4)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    docs = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert 50_000 < input_bytes([docs]) < 1_000_000
+
+
+def test_size_check_moves_no_rows(spark):
+    df = spark.range(1000).repartition(4)
+    seen = df.agg(F.count(F.lit(1)))
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "Limit" not in plan and not bounded_rows(df, 999) and bounded_rows(df, 1000)
+
+
+def test_upsert_matches_null_keys(spark):
+    old = spark.createDataFrame([(None, "old"), (1, "old")], "k long, v string")
+    new = spark.createDataFrame([(None, "new")], "k long, v string")
+    assert Counter(map(tuple, INC.upsert(old, new, ["k"]).collect())) == Counter([(1, "old"), (None, "new")])
+
+
+def test_run_registers_views_and_sets_properties(spark):
+    from ledgerlake.catalog import Inputs
+    from ledgerlake.plans.pipeline import MART_PROPERTIES, run_pipeline
+    x = Inputs(spark, "/root/testdata/sf0.001")
+    out = os.path.join(shared_dir(spark), "table_run")
+    spark.sql("CREATE DATABASE IF NOT EXISTS marts_test")
+    marts = run_pipeline(spark, x.raw, x.cities, out, "2002-01-01", schema="marts_test")
+    assert spark.table("stg_accounts").count() == x.m["stg_accounts"].count()
+    assert spark.table("int_loans_enriched").count() == x.m["int_loans_enriched"].count()
+    properties = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES marts_test.fct_transactions").collect()}
+    assert MART_PROPERTIES["fct_transactions"].items() <= properties.items()
+    assert marts["fct_transactions"].count() == x.m["fct_transactions"].count()
+    spark.sql("DROP DATABASE marts_test CASCADE")
 
 
 def test_upsert_with_broadcast_keys_streams_the_old_table(spark):

@@ -7,6 +7,7 @@ from decimal import Decimal as D
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tests import plain_shapes
 from ledgerlake import schemas
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.plans import intermediate as I
@@ -66,5 +67,5 @@ def test_enrichment_rewrite_equals_literal_left_joins(spark, accounts, txs):
     sa, sc, stx = S.stg_accounts(acc, "2024-06-01"), S.stg_customers(cus, "2024-06-01"), S.stg_transactions(tx)
     cities = read_seed(spark)
     new = Counter(map(tuple, I.int_transactions_enriched(sa, sc, stx, cities).collect()))
-    lit = Counter(map(tuple, I.int_transactions_enriched_literal(sa, sc, stx, cities).collect()))
+    lit = Counter(map(tuple, plain_shapes.int_transactions_enriched_literal(sa, sc, stx, cities).collect()))
     assert new == lit

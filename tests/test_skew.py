@@ -6,6 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from tests import plain_shapes
 from ledgerlake.catalog import Inputs
 from ledgerlake.plans import intermediate as I
 from ledgerlake.plans import marts as M
@@ -59,7 +60,7 @@ def test_hot_account_is_split_in_fact_and_enrichment(spark, skewed):
     with conf(spark, SKEW_CONF):
         fct_rows, fct_plan = final_plan(M.fct_transactions(st, sa, sc, x.cities))
         it_rows, it_plan = final_plan(I.int_transactions_enriched(sa, sc, st, x.cities))
-        lit_rows, lit_plan = final_plan(I.int_transactions_enriched_literal(sa, sc, st, x.cities))
+        lit_rows, lit_plan = final_plan(plain_shapes.int_transactions_enriched_literal(sa, sc, st, x.cities))
     assert "SortMergeJoin(skew=true)" in fct_plan
     assert "SortMergeJoin(skew=true)" in it_plan
     assert "skew=true" not in lit_plan          # the accounts-driven left join cannot be split

@@ -11,7 +11,7 @@ from ledgerlake import schemas
 from ledgerlake.catalog import Inputs
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.sources import testviews as tv
-from ledgerlake.streaming.incremental import current_state, run_incremental_load, watermarks
+from ledgerlake.streaming.incremental import compact, current_state, run_incremental_load, watermarks
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,3 +39,23 @@ def test_two_extracts_then_state_equals_batch_dedup(spark):
     wm = watermarks(spark, target).first()
     assert wm.table_name == "customers" and wm.rows_extracted == raw.count()
     assert wm.last_watermark == raw.agg(F.max("last_modified_date")).first()[0]
+
+    # A replayed batch appends its rows and its mark again: neither counts twice.
+    changes, marks = os.path.join(target, "changes"), os.path.join(target, "watermarks")
+    for path, parts in ((changes, ["_batch_id"]), (marks, [])):
+        again = spark.createDataFrame(spark.read.parquet(path).where("_batch_id = 0").toArrow())
+        writer = again.write.mode("append")
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+    assert watermarks(spark, target).first().rows_extracted == raw.count()
+    state = current_state(spark, target, copy.deepcopy(schema), ["customer_id"], ["last_modified_date"])
+    assert Counter(map(tuple, state.collect())) == Counter(map(tuple, expected.collect()))
+
+    # After a compaction reads take the snapshot and only later batches.
+    compact(spark, target, copy.deepcopy(schema), ["customer_id"], ["last_modified_date"])
+    state = current_state(spark, target, copy.deepcopy(schema), ["customer_id"], ["last_modified_date"])
+    assert Counter(map(tuple, state.collect())) == Counter(map(tuple, expected.collect()))
+    newest = raw.limit(1).withColumn("last_modified_date", F.lit("2030-01-01").cast("timestamp_ntz")).select(raw.columns)
+    newest.write.mode("append").parquet(src)
+    run_incremental_load(spark, src, **args)
+    state = current_state(spark, target, copy.deepcopy(schema), ["customer_id"], ["last_modified_date"])
+    assert state.count() == expected.count() and state.where("last_modified_date >= '2030-01-01'").count() == 1
