@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.joins import bounded_rows
+from ..operators.joins import bounded_rows, broadcast_row_limit
 from .common import materialize, pick
 from .graph import components
 
@@ -152,6 +152,15 @@ def _classes(signatures: DataFrame) -> DataFrame:
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """A written column of numbers, broadcast if a count proves it small (a million rows at most).
+
+    The other side, every hash or every text, is then filtered where it is
+    read; beyond the bound both sides are shuffled.
+    """
+    return F.broadcast(ids) if bounded_rows(ids, broadcast_row_limit(ids)) else ids
+
+
 def _shared(classes: DataFrame, s: Settings) -> DataFrame:
     """(node, a, b): the small hashes of either collection that some other class has too."""
     # The lowest bit of a hash tells its collection, so that rows are two numbers.
@@ -159,14 +168,15 @@ def _shared(classes: DataFrame, s: Settings) -> DataFrame:
     each = classes.select("node", F.explode(marked).alias("h"))
     shared = materialize(each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"), "shared-hashes")
     second = F.col("h") % 2 != 0
-    kept = each.join(shared, "h", "left_semi").groupBy("node").agg(
+    kept = each.join(_small(shared), "h", "left_semi").groupBy("node").agg(
         F.collect_list(F.when(~second, F.col("h"))).alias("a"), F.collect_list(F.when(second, F.col("h"))).alias("b"))
     return materialize(kept.where("size(a) > 0 and size(b) > 0"), "shared-by-class")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     """(node, members): the full sets of ``nodes``, made from their whole texts."""
-    found = docs.join(nodes.select("node"), docs["doc_id"] == nodes["node"]).select("node", "text")
+    ids = _small(nodes.select("node"))
+    found = docs.join(ids, docs["doc_id"] == ids["node"]).select("node", "text")
     return materialize(found.mapInArrow(_set_batches(s), "node long, members array<long>"), "sets")
 
 
