@@ -5,7 +5,11 @@ adds ``novel`` spans: strings that stand in a sensitive context (after a word
 such as "key" or "credential") and that zstandard can hardly shorten although
 it has been primed with a dictionary of common identifiers and with the text
 around them.  What a string costs is its marginal size: compressed bytes of
-the surroundings with it, less those without it.
+the surroundings with it, less those without it.  Every string within reach of
+the identifier that holds the word is measured, that identifier's tail too.
+Words and names, which are as new to the compressor as keys when they are
+short, are told from random strings by how often their characters change kind
+and, if they are letters of one case, by their vowels.
 
 Whole texts are scanned, in one pass without a shuffle.  Null texts count as
 empty and give no spans; repeated rows keep one result each; offsets are code
@@ -33,7 +37,13 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 SENSITIVE = re.compile(r"(?:password|passwd|passphrase|pwd|secret|token|api[ _-]?key|private[ _-]?key|access[ _-]?key|"
                        r"credentials?|authorization|bearer|auth)", re.IGNORECASE | re.ASCII)
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: An assignment's = ends a name; at the end of a string it is padding.
+LEAST, LONG = 8, 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.~!@#$%%^&*?-]{%d,}={0,2}" % LEAST)
+SYMBOLS = re.compile(r"[.~!@#$%^&*?]")
+IDENTIFIER_TAIL = re.compile(r"[A-Za-z0-9_-]*")
+#: Runs of one kind; a capital belongs to the small letters after it.
+RUNS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 #: Identifiers and phrases that code around secrets is made of: the dictionary that primes the compressor.
 IDENTIFIERS = (
@@ -50,8 +60,8 @@ IDENTIFIERS = (
 
 @dataclass(frozen=True)
 class NoveltyRules:
-    """reach: characters between the sensitive word's end and the string; around: of text on each side
-    that primes the compressor; ratio: marginal bytes per character from which a string is reported."""
+    """reach: characters between the end of the sensitive word's identifier and the string; around: of text
+    on each side that primes the compressor; ratio: marginal bytes per character from which a string is reported."""
 
     reach: int = 24
     around: int = 512
@@ -80,25 +90,40 @@ class Novelty:
         low = text.lower()
         if not any(w in low for w in SENSITIVE_WORDS):
             return []
-        r, found, at = self.rules, [], 0
+        r, found, at, name_end = self.rules, [], 0, 0
         for word in SENSITIVE.finditer(text):
-            start = max(at, word.end())
-            limit = word.end() + r.reach
-            m = CANDIDATE.search(text, start)
-            if not m or m.start() > limit or "\n" in text[word.end():m.start()]:
-                continue
-            at = m.end()
-            s, e = m.span()
-            if any(s < y and x < e for _, x, y in taken) or not _mixed(m.group()):
-                continue
-            if self.marginal(m.group(), text[max(0, s - r.around):s], text[e:e + r.around]) >= r.ratio * (e - s):
-                found.append(("novel", s, e))
+            if word.end() > name_end:
+                name_end = IDENTIFIER_TAIL.match(text, word.end()).end()
+            limit = name_end + r.reach
+            line_end = text.find("\n", word.end(), limit + LEAST)
+            stop = limit + LEAST if line_end < 0 else line_end  # what starts within reach has its LEAST characters there
+            at = max(at, word.end())
+            while m := CANDIDATE.search(text, at, stop):
+                s, at = m.start(), CANDIDATE.match(text, m.start()).end()
+                e = at
+                if text[e:e + 1] not in ('"', "'", "`"):  # a sentence's end, outside quotes
+                    e = s + len(text[s:e].rstrip(".?!"))
+                covered = max((min(e, y) - max(s, x) for _, x, y in taken if s < y and x < e), default=0)
+                if e - s - covered < LEAST or not _random_looking(text[s:e]):
+                    continue
+                if self.marginal(text[s:e], text[max(0, s - r.around):s], text[e:e + r.around]) >= r.ratio * (e - s):
+                    found.append(("novel", s, e))
         return found
 
 
-def _mixed(s: str) -> bool:
-    """Letters and at least two digits: names and prose have no such mixture."""
-    return sum(c.isdigit() for c in s) >= 2 and any(c.isalpha() for c in s)
+def _random_looking(s: str) -> bool:
+    """Whether characters are mixed as in no name or word; short strings must be mixed more than long ones."""
+    runs, digits = RUNS.findall(s), sum(c.isdigit() for c in s)
+    size = sum(map(len, runs))
+    long = len(s) >= LONG
+    if digits == size:
+        return long and digits == len(s)
+    if digits >= 2:
+        return long and not SYMBOLS.search(s) or size <= 3 * len(runs)
+    if size <= (3.4 if long else 2) * len(runs):
+        return True
+    one_case = s.isalpha() and (s.islower() or s.isupper())
+    return long and one_case and sum(c in "aeiouy" for c in s.lower()) < 0.25 * len(s)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:

@@ -146,6 +146,26 @@ def test_scan(docs_of):
     assert secret_scan.scan(docs_of([(1, "x")]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("before, secret, after", [
+    ('TOKEN_ENCRYPTION_MASTER = "', "qT7zK9mVb3XwY5nR2pLdh8Jc", '"'),
+    ('PRIVATE_KEY_FOR_BILLING_SERVICE = "', "v8Kq2ZrT6yWm4XbN9cLp3HsD7fGj5RtE1aUo0QiV", '"'),
+    ("auth_service_production: ", "x7k2p9q4m1z8w3v6r5t0y2u8i4o1a7s3", ""),
+    ("the passphrase of db-primary-eu is ", "hT5xqW9z", " now"), ("credential ", "Tr0ub4dor&3!xQ", "."),
+    ("bearer: ", "qTzKmVbXwYnRpLdHeJcSaGf", ""), ("pwd = '", "k9$Lm!2z#Q", "' # local"),
+])
+def test_every_string_in_reach_is_measured(before, secret, after):
+    text = f"first line\n{before}{secret}{after}\nlast line"
+    at = text.index(secret)
+    assert secret_scan.Novelty(secret_scan.NoveltyRules()).spans(text, []) == [("novel", at, at + len(secret))]
+
+
+@pytest.mark.parametrize("text", [
+    "the key management documentation says so", "auth_service_production: enabled_everywhere", "token expired in 2024.",
+    "credentials.getSecretFromEnvironment(environmentName)", "secret: covid-19 vaccination", "key\nqT7zK9mVb3XwY5nR2pLd"])
+def test_words_and_names_are_no_secrets(text):
+    assert secret_scan.Novelty(secret_scan.NoveltyRules()).spans(text, []) == []
+
+
 # ---- op9 ----
 
 def brute_quality(text):
