@@ -39,6 +39,15 @@ CUT_WORDS = frozenset(
     "sidebar widget widgets related recommended recommendations breadcrumb breadcrumbs menu nav navbar navigation "
     "footer comment comments commentlist disqus respond reply replies pagination pager login signup skip "
     "masthead toolbar".split())
+#: Those of them whose elements hold articles of their own: comments, teasers, adverts.
+LIST_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion popup modal overlay newsletter "
+    "widget widgets related recommended recommendations sidebar comment comments commentlist disqus respond reply "
+    "replies".split())
+#: Names an article has for its kind or state, not for what it is.
+ARTICLE_KIND = re.compile(r"(?i)^(category|tag|type|format|status|post|has|with|no)[-_]|[-_](open|closed|enabled|disabled)$")
+OPTIONAL_END = frozenset("li p dt dd tr td th option".split())
+UNSEEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.DOTALL | re.IGNORECASE)
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag ends an open element of these kinds, up to the boundary tags.
@@ -53,11 +62,13 @@ SIBLING_TEXT = 80    # characters of a sibling paragraph
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "cut", "first", "last", "score", "chars", "link_chars", "links",
+    __slots__ = ("tag", "parent", "children", "cut", "why", "first", "last", "score", "chars", "link_chars", "links",
                  "semantic")
 
-    def __init__(self, tag: str, parent: "Element | None", cut: bool, first: int):
-        self.tag, self.parent, self.cut, self.first = tag, parent, cut, first
+    def __init__(self, tag: str, parent: "Element | None", why: str, first: int):
+        #: why: what cuts the element itself (tag, list, name, or empty); cut: it or an ancestor is cut.
+        self.tag, self.parent, self.why, self.first = tag, parent, why, first
+        self.cut = bool(why) or parent is not None and parent.cut
         self.children: list[Element] = []
         #: The nearest article or main from here upwards, itself included.
         self.semantic = self if tag in SEMANTIC else parent.semantic if parent else None
@@ -78,11 +89,19 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.cut_forms = cut_forms
         self.blocks: list[Block] = []
-        self.root = Element("#root", None, False, 0)
+        self.root = Element("#root", None, "", 0)
         self.stack = [self.root]
         self.open: dict[str, int] = {}
         self.parts: list[str] = []
         self.in_link = self.link_chars = 0
+        #: Start less end tags, of those seen and of the whole page.
+        self.seen: dict[str, int] = {}
+        self.whole: dict[str, int] = {}
+        self.page = ""
+
+    def feed(self, data: str) -> None:
+        self.page += data
+        super().feed(data)
 
     def flush(self) -> None:
         if self.parts:
@@ -127,22 +146,56 @@ class TreeBuilder(HTMLParser):
             if tag in boundary:
                 return
 
-    def is_boilerplate(self, tag: str, attrs: dict) -> bool:
+    def boilerplate(self, tag: str, attrs: dict) -> str:
+        """What cuts an element: "tag" (or its role or style), "list" or "name" (words of class and id), or ""."""
         if tag in CUT_TAGS and (tag != "form" or self.cut_forms):
-            return True
+            return "tag"
         if tag == "header" and not any(self.open.get(t) for t in SEMANTIC):
-            return True
+            return "tag"
         if "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
+            return "tag"
         if (attrs.get("role") or "").lower() in CUT_ROLES:
-            return True
+            return "tag"
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or ""):
-            return True
-        if tag in ("html", "body") or tag in SEMANTIC:
-            return False
+            return "tag"
+        if tag in ("html", "body", "main"):
+            return ""
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
+        if tag == "article":
+            names = " ".join(x for x in names.split() if not ARTICLE_KIND.search(x))
         words = {w.lower() for w in NAME_WORDS.findall(names)}
-        return bool(words & CUT_WORDS) or "header" in words and not any(self.open.get(t) for t in SEMANTIC)
+        if words & LIST_WORDS:
+            return "list"
+        if words & CUT_WORDS or "header" in words and not any(self.open.get(t) for t in SEMANTIC):
+            return "name"
+        return ""
+
+    def ends_later(self, tag: str) -> int:
+        """End tags of ``tag`` still to come, less those of elements that start later."""
+        if tag not in self.whole:
+            tags = re.findall(rf"<(/?){tag}(?=[\s/>])", UNSEEN.sub("", self.page), re.IGNORECASE)
+            self.whole[tag] = sum(-1 if end else 1 for end in tags)
+        return self.seen.get(tag, 0) - self.whole[tag]
+
+    def leave_unclosed(self, tag: str) -> None:
+        """Ends cut elements that an article or main can't stand in: they were left open, or hold the whole page.
+
+        Lists of comments, teasers and adverts, and menus, asides and the like
+        that have an end tag, hold articles of their own.
+        """
+        last, inner = len(self.stack), {}
+        for i in range(len(self.stack) - 1, 0, -1):
+            e = self.stack[i]
+            if not e.cut or e.tag in ("template", "noscript"):
+                break
+            inner[e.tag] = inner.get(e.tag, 0) + 1
+            if e.why in ("tag", "list") and tag == "article" and (
+                    e.tag in OPTIONAL_END or inner[e.tag] <= self.ends_later(e.tag)):
+                break
+            if e.why:
+                last = i
+        while len(self.stack) > last:
+            self.pop()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in VOID:
@@ -154,9 +207,9 @@ class TreeBuilder(HTMLParser):
                     self.close_to(("p",), ())
                 self.flush()
             return
-        if tag in SEMANTIC:  # an article doesn't stand in a menu: that one was left open
-            while len(self.stack) > 1 and self.stack[-1].cut and self.stack[-1].tag not in ("template", "noscript"):
-                self.pop()
+        if tag in SEMANTIC and self.stack[-1].cut:
+            self.leave_unclosed(tag)
+        self.seen[tag] = self.seen.get(tag, 0) + 1
         if tag == "body":
             self.close_to(("head",), ())
         if tag in CLOSES_P:
@@ -166,7 +219,7 @@ class TreeBuilder(HTMLParser):
         if tag not in INLINE:
             self.flush()
         parent = self.stack[-1]
-        e = Element(tag, parent, parent.cut or self.is_boilerplate(tag, dict(attrs)), len(self.blocks))
+        e = Element(tag, parent, self.boilerplate(tag, dict(attrs)), len(self.blocks))
         parent.children.append(e)
         self.stack.append(e)
         self.open[tag] = self.open.get(tag, 0) + 1
@@ -179,6 +232,7 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.parts.append(" ")
+        self.seen[tag] = self.seen.get(tag, 0) - 1
         if not self.open.get(tag):
             return
         for i in range(len(self.stack) - 1, 0, -1):

@@ -46,6 +46,23 @@ def test_extract(html, text):
     assert html_extract.extract(html) == text
 
 
+BODY = "<article class='post tag-social comments-open'><h1>Title</h1><p>Body, with a comma.</p></article>"
+
+
+@pytest.mark.parametrize("html", [
+    BODY + "<section class=comments><article class=comment><p>A reader, says much, and more.</p></article></section>",
+    BODY + "<ol class=commentlist><li class=comment><article><p>Reader, one.</p></article><li><article>x</article></ol>",
+    BODY + "<aside class=related><article><p>Teaser, of another, page.</p></article></aside>",
+    BODY + "<div id=related><div><article><p>Teaser.</p></article></div></div>",
+    BODY + "<article id=comment-7 class=comment><p>Reader, alone.</p></article>",
+    "<article><h1>Title</h1><p>Body, with a comma.</p><section id=comments><article>Reader.</article></section></article>",
+    "<nav>menu" + BODY + "<nav>menu</nav>", "<nav><!-- </nav> --><ul><li class=menu>menu" + BODY,
+    "<div class='page has-menu'>" + BODY + "</div>", "<div id=sidebar><main>" + BODY + "</main></div>",
+])
+def test_articles_in_boilerplate_stay_cut(html):
+    assert html_extract.extract(f"<body>{html}</body>") == "Title\n\nBody, with a comma."
+
+
 def test_extract_deep_and_long():
     deep = "<div>" * 20000 + "<p>inner</p>" + "</div>" * 20000
     assert html_extract.extract(deep) == "inner"
