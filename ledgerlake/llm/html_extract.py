@@ -5,8 +5,10 @@ Boilerplate subtrees (menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are cut while parsing.
 Every paragraph-like block then passes points for its length and its commas
 to its ancestors, less with distance; an element's points are discounted by
-its link density.  The best container is kept with those siblings that look
-like part of the same article.
+its link density.  The best container is kept; a best article or main with other
+ones beside it, any other container with all that stands beside it or its
+ancestors and isn't mostly links.  Lists of links go where they stand outside
+the prose.
 
 Null or empty html gives an empty text; a page in which nothing scores keeps
 all its remaining blocks.  Pages are independent rows, so repeated rows and
@@ -56,9 +58,7 @@ IMPLIED_END = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl"
                "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 LEVELS = 4          # ancestors that get discounted points
-SIBLING_SHARE = 0.2  # of the best score, from which a sibling container is kept
-SIBLING_POINTS = 10.0
-SIBLING_TEXT = 80    # characters of a sibling paragraph
+LINKS = 0.5         # share of link text from which what stands beside the best container is no prose
 
 
 class Element:
@@ -298,21 +298,36 @@ def _best(root: Element) -> Element | None:
     return best
 
 
-def _kept_siblings(best: Element) -> list[Element]:
-    if best.parent is None:
-        return [best]
-    least = max(SIBLING_POINTS, SIBLING_SHARE * best.score)
-    kept = []
-    for s in best.parent.children:
-        density = s.link_chars / s.chars if s.chars else 1.0
-        if s is best or best.tag in SEMANTIC and s.tag == best.tag and not s.cut:
-            kept.append(s)
-        elif s.cut or best.tag in SEMANTIC:
-            continue
-        elif s.score >= least or s.tag in PARAGRAPH and (s.chars >= SIBLING_TEXT and density < 0.25 or
-                                                         s.tag[0] == "h" and density == 0.0):
-            kept.append(s)
-    return kept
+def _kept(best: Element, blocks: list[Block]) -> list[tuple[int, int]]:
+    """Spans of blocks: the best container's, and what belongs with it."""
+    if best.tag in SEMANTIC and best.parent is not None:
+        return [(s.first, s.last) for s in best.parent.children if s is best or s.tag == best.tag and not s.cut]
+    def is_prose(chars: int, link_chars: int) -> bool:
+        return chars > 1 and link_chars < LINKS * chars  # a single character (a bullet, a closing mark) is no prose
+
+    spans, e, above = [(best.first, best.last)], best, set()
+    while e.parent is not None:
+        e, inner = e.parent, e
+        above.add(e)
+        spans += [(x.first, x.last) for x in e.children
+                  if x is not inner and not x.cut and is_prose(x.chars, x.link_chars)]
+    return spans + [(i, i + 1) for i, b in enumerate(blocks) if b.owner in above and is_prose(len(b.text), b.link_chars)]
+
+
+def _menus(root: Element, best: Element, blocks: list[Block]) -> list[tuple[int, int]]:
+    """Spans of the lists of links outside the prose: none in articles, else those not after prose of the best container."""
+    if best.tag in SEMANTIC:
+        return []
+    start = next((i for i in range(best.first, best.last) if blocks[i].owner.tag != "li"
+                  and blocks[i].link_chars < LINKS * len(blocks[i].text)), best.last)
+    menus, stack = [], [root]
+    while stack:
+        e = stack.pop()
+        if not _is_menu(e):
+            stack.extend(e.children)
+        elif not start <= e.first < best.last:
+            menus.append((e.first, e.last))
+    return menus
 
 
 def _is_menu(e: Element) -> bool:
@@ -336,22 +351,10 @@ def extract(html: str | None) -> str:
     best = _best(tree.root)
     if best is None:
         return "\n\n".join(b.text for b in blocks)
-    spans, stack = [], [(e, e.first, e.last) for e in _kept_siblings(best)]
-    menus = []
-    while stack:
-        e, first, last = stack.pop()
-        spans.append((first, last))
-        inner = [e]
-        while inner:
-            x = inner.pop()
-            if _is_menu(x):
-                menus.append((x.first, x.last))
-            else:
-                inner.extend(x.children)
     take = bytearray(len(blocks))
-    for first, last in spans:
+    for first, last in _kept(best, blocks):
         take[first:last] = b"\x01" * (last - first)
-    for first, last in menus:
+    for first, last in _menus(tree.root, best, blocks):
         take[first:last] = b"\x00" * (last - first)
     return "\n\n".join(b.text for b, keep in zip(blocks, take) if keep)
 

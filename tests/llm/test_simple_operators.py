@@ -63,6 +63,26 @@ def test_articles_in_boilerplate_stay_cut(html):
     assert html_extract.extract(f"<body>{html}</body>") == "Title\n\nBody, with a comma."
 
 
+LONG = ("Long text, with commas, " * 9).strip()
+LINK_LIST = "".join(f"<li><a href={i}>Source {i}</a></li>" for i in range(3))
+SOURCES = ["Source 0", "Source 1", "Source 2"]
+
+
+@pytest.mark.parametrize("html, blocks", [
+    (f"<div><p>{LONG}</p></div><div><h2>End</h2><p>One short sentence.</p></div>", [LONG, "End", "One short sentence."]),
+    (f"<div><p>{LONG}</p></div><ul><li>a b</li><li>c</li><li>d</li></ul><p>Short.</p>", [LONG, "a b", "c", "d", "Short."]),
+    (f"<div><p>Intro.</p><div><p>{LONG}</p></div></div>bare text<div><p>Last.</p></div>", ["Intro.", LONG, "bare text", "Last."]),
+    (f"<div><p>{LONG}</p></div><div><a href=x>Other</a> <a href=y>pages</a></div>", [LONG]),
+    (f"<div><p>{LONG}</p></div><span><p>Short.</p></span><b>bare</b>", [LONG, "Short.", "bare"]),
+    (f"<article><p>{LONG}</p><ul>{LINK_LIST}</ul></article>", [LONG, *SOURCES]),
+    (f"<div><p>{LONG}</p><ol>{LINK_LIST}</ol></div>", [LONG, *SOURCES]),
+    (f"<div><ul>{LINK_LIST}</ul><p>{LONG}</p></div>", [LONG]),
+    (f"<ul>{LINK_LIST}</ul><div><p>{LONG}</p></div>", [LONG]),
+])
+def test_all_prose_beside_the_best_container_stays(html, blocks):
+    assert html_extract.extract(f"<body>{html}</body>") == "\n\n".join(blocks)
+
+
 def test_extract_deep_and_long():
     deep = "<div>" * 20000 + "<p>inner</p>" + "</div>" * 20000
     assert html_extract.extract(deep) == "inner"
