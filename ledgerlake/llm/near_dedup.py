@@ -137,12 +137,15 @@ def _signature_batches(s: Settings):
 def _set_batches(s: Settings):
     def run(batches):
         import pyarrow as pa
+        from xxhash import xxh3_128_digest
 
         for batch in batches:
-            texts = batch.column("text")
-            sets = [shingle_set(texts[i].as_py(), s.words).view(np.int64) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))],
-                                             names=["node", "members"])
+            nodes, digests, texts = (batch.column(c) for c in ("node", "digest", "text"))
+            sets = [shingle_set(texts[i].as_py(), s.words) for i in range(batch.num_rows)]
+            of = [i for i, x in enumerate(sets) if xxh3_128_digest(x.tobytes()) == digests[i].as_py()]
+            yield pa.RecordBatch.from_arrays(
+                [nodes.take(pa.array(of, pa.int64())), pa.array([sets[i].view(np.int64) for i in of], pa.list_(pa.int64()))],
+                names=["node", "members"])
     return run
 
 
@@ -174,10 +177,15 @@ def _shared(classes: DataFrame, s: Settings) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
-    """(node, members): the full sets of ``nodes``, made from their whole texts."""
-    ids = _small(nodes.select("node"))
-    found = docs.join(ids, docs["doc_id"] == ids["node"]).select("node", "text")
-    return materialize(found.mapInArrow(_set_batches(s), "node long, members array<long>"), "sets")
+    """(node, members): the full sets of ``nodes`` (node, digest), one row each, made from their whole texts.
+
+    Of rows that repeat a node's id those with another set are left out, and
+    of equal ones one stays: later counts are of classes, not of rows.
+    """
+    ids = _small(materialize(nodes.select("node", "digest"), "set-ids"))
+    found = docs.join(ids, docs["doc_id"] == ids["node"]).select("node", "digest", "text")
+    sets = found.mapInArrow(_set_batches(s), "node long, members array<long>")
+    return materialize(sets.dropDuplicates(["node"]), "sets")
 
 
 def _alive(shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -343,7 +351,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
         _signature_batches(s), "doc_id long, n long, digest binary, hashes array<long>"), "signatures")
     classes = materialize(_classes(signatures), "classes")
     shared = _shared(classes, s)
-    sets = _sets(src, shared, s)
+    sets = _sets(src, classes.join(_small(shared.select("node")), "node", "left_semi"), s)
     found = _links(_alive(shared, sets, s), sets, s)
     names = classes.select("digest", "node")
     if found is None:

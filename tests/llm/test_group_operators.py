@@ -83,6 +83,30 @@ def test_large_buckets_take_the_sharper_bound(docs_of):
     assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in out) == brute_components(data, 4)
 
 
+def test_repeated_rows_count_once_in_the_bounds(spark, docs_of):
+    """Rows that repeat an id add nothing to the counts of shingles that rule pairs out in large buckets."""
+    rng, s = random.Random(9), near_dedup.Settings(words=4, rare=8)
+    texts = []
+    for i in range(12):  # a template whose every variant has words of its own
+        words = [f"c{k}" for k in range(100)]
+        for k in range(1 + i % 3):
+            words[rng.randrange(100)] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    sets = [set(near_dedup.shingle_set(t, 4).tolist()) for t in texts]
+    held = Counter(x for found in sets for x in found)
+    docs = docs_of([(i, t) for i, t in enumerate(texts) for _ in range(2)]).select("doc_id", "text")
+    classes = near_dedup._classes(docs.mapInArrow(
+        near_dedup._signature_batches(s), "doc_id long, n long, digest binary, hashes array<long>"))
+    other = docs.unionByName(docs_of([(0, "another text under a repeated id")]).select("doc_id", "text"))
+    made = near_dedup._sets(other, classes, s)
+    assert sorted(r["node"] for r in made.collect()) == list(range(12))
+    entries = spark.createDataFrame([(1, i, len(x), len(x), i) for i, x in enumerate(sets)],
+                                    "key long, node long, n long, t long, component long")
+    _, uncommon = near_dedup._rare_pairs(entries, made, s)
+    assert {r["node"]: r["uncommon"] for r in uncommon.collect()} == {
+        i: sum(held[k] < s.rare for k in x) for i, x in enumerate(sets)}
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 201)]
