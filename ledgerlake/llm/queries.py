@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, html_extract, line_dedup, merkle, mixing, near_dedup, packing, quality, secret_scan, token_counts,
-               toxicity)
+from . import (ann, html_extract, line_dedup, merkle, mixing, near_dedup, packing, phrases, quality, secret_scan,
+               token_counts, toxicity)
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op10_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.op12_merkle_manifest(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_quality_rules": op9_quality_rules,
         "op10_line_dedup": op10_line_dedup,
+        "op11_phrase_collocations": op11_phrase_collocations,
         "op12_merkle_manifest": op12_merkle_manifest,
     }
 
@@ -84,5 +89,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_temperature_mixing": mixing.op5_sql(),
         "op9_quality_rules": quality.op9_sql(),
         "op10_line_dedup": line_dedup.OP10_SQL,
+        "op11_phrase_collocations": phrases.OP11_SQL,
         "op12_merkle_manifest": merkle.op12_sql(),
     }
