@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, html_extract, line_dedup, merkle, mixing, near_dedup, packing, phrases, quality, secret_scan,
-               token_counts, toxicity)
+from . import (ann, html_extract, jaccard_join, line_dedup, merkle, mixing, near_dedup, packing, phrases, quality,
+               secret_scan, token_counts, toxicity)
 from .common import table
 
 
@@ -67,6 +67,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.op12_merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, sf_dir, "documents"), jaccard_join.Settings(words=4, percent=85))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extract": op1_html_extract,
@@ -81,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_line_dedup": op10_line_dedup,
         "op11_phrase_collocations": op11_phrase_collocations,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_jaccard_join": op13_jaccard_join,
     }
 
 
