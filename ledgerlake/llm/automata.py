@@ -55,18 +55,25 @@ class Counts:
                 may[ok] = pairs[inverse]
         return Counts(words, levels)
 
-    def only(self, used: list[np.ndarray]) -> Counts:
-        """The automaton of the arcs that masks (one a level) choose, with their prefixes and words renumbered."""
-        keep = [m.copy() for m in used]
-        for k in range(len(keep) - 1, 0, -1):
-            keep[k - 1][self.levels[k][0][keep[k]]] = True
-        chosen = [tuple(x[keep[k]] for x in level) for k, level in enumerate(self.levels)]
-        labels = np.unique(np.concatenate([level[1] for level in chosen]))
+    def only(self, own: list[np.ndarray]) -> Counts:
+        """The automaton of the arcs that sorted numbers (one array a level) choose, and of the arcs that lead to them.
+
+        The latter keep no weight.  Words are renumbered.  The cost follows
+        the arcs chosen, not the automaton.
+        """
+        need = [own[-1]]
+        for k in range(len(own) - 1, 0, -1):
+            need.append(np.union1d(own[k - 1], self.levels[k][0][need[-1]]))
+        need.reverse()
+        labels = np.unique(np.concatenate([self.levels[k][1][arcs] for k, arcs in enumerate(need)]))
         levels = []
-        for k, (source, word, weight) in enumerate(chosen):
+        for k, arcs in enumerate(need):
+            source, word, weight = (x[arcs] for x in self.levels[k])
             if k:
-                source = np.cumsum(keep[k - 1])[source] - 1
-            levels.append((source, np.searchsorted(labels, word), np.where(used[k][keep[k]], weight, 0)))
+                source = np.searchsorted(need[k - 1], source)
+            if len(own[k]) < len(arcs):
+                weight = np.where(np.isin(arcs, own[k], assume_unique=True), weight, 0)
+            levels.append((source, np.searchsorted(labels, word), weight))
         return Counts([self.words[i] for i in labels], levels)
 
     @staticmethod
@@ -92,7 +99,7 @@ class Counts:
 
     def at_least(self, least: int) -> Counts:
         """Only n-grams of that weight or more (and the arcs that lead to them, with weight 0)."""
-        return self.only([level[2] >= least for level in self.levels])
+        return self.only([np.flatnonzero(level[2] >= least) for level in self.levels])
 
     def compose(self, acceptor: Counts) -> list[np.ndarray]:
         """The weight here of every n-gram of ``acceptor``, level by level; 0 if it isn't accepted.

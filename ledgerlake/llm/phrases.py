@@ -1,8 +1,9 @@
 """Phrase collocation mining (operator 11) with weighted acyclic automata.
 
-1. Every task reads texts until it holds ``shard_words`` words and builds the
-   count transducer of that shard's n-grams from their sorted list.  It is
-   cut by prefix, the n-gram's first two words, into ranges of a hash.
+1. Every task reads texts, a shard for each lang, until it holds
+   ``held_words`` words, and builds the count transducer of the largest
+   shard's n-grams from their sorted list.  It is cut by prefix, the n-gram's
+   first two words, into ranges of a hash.
 2. The transducers of a range, one from each shard, are united with added
    weights; n-grams under the least count go.
 3. Orders come in two rounds.  Words and word pairs first; a fixed-size
@@ -14,8 +15,7 @@
    operations.
 
 * a null text is empty; a null lang is ``other_lang``
-* very long texts are split over shards between pieces' words only where a
-  shard is full at a text's end, so a text is always whole
+* a very long text lies in one shard as a whole
 * ties of a score go to the larger count, then to the lesser phrase (bytes)
 * repeated rows count as often as they occur
 * an empty table gives no rows
@@ -45,8 +45,8 @@ class Settings:
     inside_percent: int = 80     # of a's count that a longer candidate needs to drop a
     top: int = 2000              # of each lang
     other_lang: str = "und"
-    shard_words: int = 2_000_000     # of a shard (and at least one text)
-    range_bytes: int = 4_000_000     # of text for each prefix range
+    held_words: int = 4_000_000      # that a task holds at most (and at least one text) before its largest shard is counted
+    range_bytes: int = 8_000_000     # of text for each prefix range
     filter_bits: int = 1 << 26       # of the frequent pairs' filter
 
 
@@ -97,12 +97,15 @@ class _Shard:
     def __init__(self):
         self.number: dict[bytes, int] = {}
         self.parts: list[np.ndarray] = []
+        self.size = 0
 
     def add(self, text: str | None) -> int:
         found = tokens(text)
         number = self.number
         ids = [number.setdefault(w, len(number)) for w in found]
-        self.parts.append(np.array([*ids, -1], np.int64))
+        ids.append(-1)
+        self.parts.append(np.array(ids, np.int32))
+        self.size += len(ids)
         return len(ids)
 
     def counts(self, lang: str, orders: int, frequent: _Filter | None) -> tuple[Counts, int]:
@@ -135,12 +138,11 @@ def _ranges(counts: Counts, ranges: int, least_order: int):
         homes.append(homes[-1][source])
     order = [np.argsort(h, kind="stable") for h in homes]
     bounds = [np.searchsorted(h[o], np.arange(ranges + 1)) for h, o in zip(homes, order)]
+    none = np.zeros(0, np.int64)
     for r in range(ranges):
-        used = [np.zeros(len(h), bool) for h in homes]
-        for k in range(least_order - 1, len(homes)):
-            used[k][order[k][bounds[k][r]:bounds[k][r + 1]]] = True
-        if any(u.any() for u in used):
-            yield r, counts.only(used)
+        own = [o[b[r]:b[r + 1]] if k >= least_order - 1 else none for k, (o, b) in enumerate(zip(order, bounds))]
+        if any(map(len, own)):
+            yield r, counts.only(own)
 
 
 SHARDS = "lang string, range long, words long, counts binary"
@@ -154,24 +156,26 @@ def _shard_batches(s: Settings, ranges: int, least_order: int, orders: int, freq
         held = 0
         table = frequent.value if frequent is not None else None
 
-        def flush():
-            for lang, shard in shards.items():
-                counts, words = shard.counts(lang, orders, table)
-                for r, part in _ranges(counts, ranges, least_order):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]), pa.array([r], pa.int64()), pa.array([words], pa.int64()),
-                         pa.array([part.to_bytes()], pa.binary())], names=["lang", "range", "words", "counts"])
-                    words = 0  # counted once a shard
-            shards.clear()
+        def flush(lang):
+            counts, words = shards.pop(lang).counts(lang, orders, table)
+            for r, part in _ranges(counts, ranges, least_order):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang]), pa.array([r], pa.int64()), pa.array([words], pa.int64()),
+                     pa.array([part.to_bytes()], pa.binary())], names=["lang", "range", "words", "counts"])
+                words = 0  # counted once a shard
 
         for batch in batches:
-            langs, texts = batch.column("lang"), batch.column("text")
-            for i in range(batch.num_rows):
-                held += shards.setdefault(langs[i].as_py(), _Shard()).add(texts[i].as_py())
-                if held >= s.shard_words:
-                    yield from flush()
-                    held = 0
-        yield from flush()
+            langs, texts = batch.column("lang").to_pylist(), batch.column("text")
+            for i, lang in enumerate(langs):
+                if lang not in shards:
+                    shards[lang] = _Shard()
+                held += shards[lang].add(texts[i].as_py())
+                if held >= s.held_words:
+                    largest = max(shards, key=lambda x: shards[x].size)
+                    held -= shards[largest].size
+                    yield from flush(largest)
+        for lang in list(shards):
+            yield from flush(lang)
     return run
 
 
