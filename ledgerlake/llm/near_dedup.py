@@ -29,10 +29,13 @@ the defaults two sets of similarity 0.8 share a key with probability above
    bound, or already connected, without pairing all members of a bucket, and
    without a cap.
 
-Null and empty texts have empty sets and are linked with nothing.  Rows with
-a null id are not compared: their component is null and they are kept.  Rows
-that repeat an id are expected to repeat its text; each row gets the
-component of its own text's class.
+Null and empty texts have empty sets and are linked with nothing; very long
+texts are compared whole; an empty table gives no rows.  Rows with a null id
+are not compared: their component is null and they are kept.  Rows that repeat
+an id are expected to repeat its text; each row gets the component of its own
+text's class (``keep_one`` tells texts of one id apart).  Ties need no rule:
+a class is named by its least id.  Only the id and the text are read, so other
+columns can have any name but those that begin with ``_ll_``.
 """
 
 from __future__ import annotations
@@ -369,13 +372,25 @@ def keep_one(docs: DataFrame, settings: Settings = Settings(), id_col: str = "do
              text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document stays: of each group the one with the smallest id.
 
-    Of rows that repeat an id one stays (any, if their texts differ); rows
-    with a null id all stay.
+    A document is an id with its text: rows that repeat both are one, rows
+    that repeat the id with another text are documents of their own (of equal
+    ids in a group that with the least hash of id and text stays).  Every
+    group keeps one document, whatever ids its rows have.  Rows with a null id
+    all stay.
     """
-    named = docs.withColumn("_ll_id", F.col(f"`{id_col}`").cast("long"))
-    gone = near_duplicates(docs, settings, id_col, text_col).where("not kept").select(
-        F.col("doc_id").alias("_ll_gone")).distinct()
-    left = named.join(gone, named["_ll_id"] == gone["_ll_gone"], "left_anti")
-    first = F.row_number().over(Window.partitionBy("_ll_id").orderBy(F.xxhash64(f"`{text_col}`")))
-    left = left.withColumn("_ll_first", F.when(F.col("_ll_id").isNull(), 1).otherwise(first))
-    return left.where("_ll_first = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, text = F.col("_ll_key"), F.col(f"`{text_col}`")
+    doc_id = F.col(f"`{id_col}`").cast("long")
+    named = docs.withColumn("_ll_key", F.when(doc_id.isNotNull(), F.xxhash64(doc_id, text)))
+    found = near_duplicates(named, settings, "_ll_key", text_col).where("doc_id is not null").select(
+        F.col("doc_id").alias("_ll_key"), "component_id").distinct()
+    ids = materialize(named.where(key.isNotNull()).groupBy("_ll_key").agg(
+        F.first(doc_id).alias("id"), F.count(F.lit(1)).alias("k")), "keys")
+    grouped = materialize(found.join(ids, "_ll_key"), "grouped")
+    first = grouped.groupBy("component_id").agg(F.min(F.struct("id", "_ll_key"))["_ll_key"].alias("first"))
+    gone = grouped.join(first, "component_id").where(key != F.col("first")).select(key.alias("_ll_gone"))
+    left = named.join(_small(materialize(gone, "gone")), key == F.col("_ll_gone"), "left_anti")
+    again = materialize(ids.where("k > 1").select(key.alias("_ll_again")), "repeated")
+    if not again.isEmpty():  # only rows with repeats travel, one a task and key
+        repeated = left.join(_small(again), key == F.col("_ll_again"), "left_semi").dropDuplicates(["_ll_key"])
+        left = left.join(_small(again), key == F.col("_ll_again"), "left_anti").unionByName(repeated)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,16 +3,20 @@
 Base rules count words, symbols, repeated lines and repeated three-word
 windows of a text.  The method compares two histograms of the text, its
 character classes and its common words, to references of each language by
-Jensen-Shannon distance; a text is rejected if it is far from every
-language.  Texts under ``min_words`` are too short to compare.
+Jensen-Shannon distance; a text is rejected if it is farther from every
+language than chance explains at its length.  Texts under ``min_words`` are
+too short to compare.
 
 The references are sums over all documents of the given languages with at
 least ``min_words`` words, so they follow the corpus; they have a fixed size
 (languages x bins) and are summed with partial aggregation.  Text is never
 shuffled: rows are counted and judged in place.
 
-Null and empty texts have no words and fail the base rules.  Rows are judged
-one by one, so repeated rows and null ids get the same verdict each.  Rows of
+Null and empty texts have no words and fail the base rules; very long texts are
+judged whole; an empty table gives no rows.  Only id, text and lang are read,
+so other columns can have any name but those that begin with ``_ll_``.  Rows
+are judged one by one, so repeated rows and null ids get the same verdict each;
+a distance equal to its limit is kept.  Rows of
 an unlisted or null language add to no reference but are compared like any.
 Without any reference (no long enough row of a listed language) only the
 base rules count.
@@ -39,13 +43,17 @@ CLASSES = ("lower", "upper", "digit", "white", "punctuation", "other_script")
 
 @dataclass(frozen=True)
 class Rules:
-    """Distances are compared only from the guards' word counts on: short texts vary too much."""
+    """A histogram of n words lies off its own language by chance, by about 1 / sqrt(n).
 
-    min_words: int = 50              # base rule, and guard of the class histogram
+    So a distance's limit is a floor plus noise / sqrt(n), from ``min_words`` on.
+    """
+
+    min_words: int = 50              # base rule, and guard of both histograms
     max_repeat_percent: int = 50     # base rule
-    max_class_distance: float = 0.28
-    min_words_common: int = 200      # guard of the common-word histogram
-    max_word_distance: float = 0.27
+    class_floor: float = 0.12
+    class_noise: float = 1.1
+    word_floor: float = 0.23
+    word_noise: float = 0.65
     #: from so many different repeated windows on, sorting marks their places instead of look-ups
     many_repeats: int = 64
     common_words: tuple = tuple((lang, tuple(words)) for lang, words in COMMON_WORDS.items())
@@ -187,8 +195,9 @@ def verdict(df: DataFrame, found: dict, rules: Rules) -> DataFrame:
                                "_ll_kept": ~F.col("_ll_failed")})
     df = df.withColumns({"_ll_dc": nearest(F.col("_ll_c"), [r[0] for r in found.values()]),
                          "_ll_dw": nearest(F.col("_ll_v"), [r[1] for r in found.values()])})
-    near = (F.col("_ll_dc") <= rules.max_class_distance) & (
-        (F.col("_ll_n") < rules.min_words_common) | (F.col("_ll_dw") <= rules.max_word_distance))
+    chance = F.sqrt(F.greatest(F.col("_ll_n"), F.lit(1)))
+    near = (F.col("_ll_dc") <= rules.class_floor + rules.class_noise / chance) & (
+        F.col("_ll_dw") <= rules.word_floor + rules.word_noise / chance)
     return df.withColumn("_ll_kept", ~F.col("_ll_failed") & F.coalesce(near, F.lit(False)))
 
 
@@ -269,8 +278,8 @@ base as (select rid, doc_id, len(w) as n_words, t, coalesce(n_repeat, 0) as n_re
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars,
        length(regexp_replace(base.t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, n_dup::bigint as n_dup_lines,
        n_repeat::bigint as n_repeat_words, failed as base_failed,
-       not failed and coalesce(dc <= {rules.max_class_distance}
-         and (n_words < {rules.min_words_common} or dw <= {rules.max_word_distance}),
+       not failed and coalesce(dc <= {rules.class_floor} + {rules.class_noise} / sqrt(greatest(n_words, 1))
+         and dw <= {rules.word_floor} + {rules.word_noise} / sqrt(greatest(n_words, 1)),
          not exists (select 1 from refs)) as kept
 from base join counts using (rid) left join near using (rid)
 """

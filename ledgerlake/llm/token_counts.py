@@ -5,7 +5,11 @@ and SHA-256 of the tokenizer's file and library version.  A run joins its
 documents to the cache, encodes each distinct missing content once, appends
 the new counts to the cache and joins every document to its count.
 
-Null and empty texts count 0 tokens.  Repeated rows keep one result row each.
+Null and empty texts count 0 tokens; very long texts are counted whole.
+Repeated rows and null ids keep one result row each; an empty table gives
+none.  A content that the cache holds more than once, as two runs at a time may
+leave it, counts once.  Only the id and the text are read, so other columns can
+have any name.
 Texts travel once, and only the first copy of a content within a map task is
 sent (partial aggregation), so a hot content doesn't make a hot task; the
 final join carries digests only and its hot keys are split by AQE.
@@ -18,7 +22,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, pick
+from .common import fresh_path, materialize, pick
 
 CACHE_SCHEMA = "content string, version string, n_tokens long"
 
@@ -88,10 +92,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     new = misses.mapInArrow(_encode_misses(tokenizer), "content string, n_tokens long")
     new.select("content", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)
 
-    # The stored counts are read as a table of their own, so that the join's
-    # hot contents (many copies) can be split.
-    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("version") == version)
-    counts = counts.select("content", "n_tokens")
+    # Written again, one row per content (two runs may have stored the same), so that the join's sides are
+    # plain exchanges and its hot contents (many copies) can be split.
+    counts = materialize(_read_cache(spark, cache, version), "token-counts")
     out = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content").join(
         counts, "content", "left")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
