@@ -26,7 +26,9 @@ from .operators.dedup import distinct_rows, keep_latest
 from .operators.joins import bounded_rows, broadcast_row_limit
 from .plans import intermediate as I
 from .plans import marts as M
-from .plans.pipeline import Models, fct_transactions_incremental
+from .plans.history import dim_customers_history, fct_customer_as_of
+from .plans.merge import dim_customers_incremental, fct_transactions_incremental, merge_fct_transactions
+from .plans.pipeline import MART_PARTITIONS, Models
 from .sources import sinks
 from .sources import testviews as tv
 from .sources.raw import read_seed
@@ -149,17 +151,51 @@ def _insert_if_absent(x: Inputs) -> DataFrame:
     return INC.insert_if_absent(old, new, [key], broadcast_new_keys=small)
 
 
-@query("fct_transactions_incremental")
-def _fct_transactions_incremental(x: Inputs) -> DataFrame:
-    """The fact loaded in two runs: what had been modified up to the cuts, then everything newer."""
+def _first_load(x: Inputs) -> Models:
+    """The models of what had been modified up to the cuts; everything newer is the increment."""
     first = {}
     for t in tv.RAW_NAMES:
         cut = F.lit(tv.INCREMENTAL_CUTS[t]).cast("timestamp_ntz")
         first[t] = x.raw[t].where(~F.coalesce(F.col("last_modified_date") > cut, F.lit(False)))
-    existing = Models(first, x.cities, AS_OF)["fct_transactions"]
+    return Models(first, x.cities, AS_OF)
+
+
+@query("fct_transactions_incremental")
+def _fct_transactions_incremental(x: Inputs) -> DataFrame:
+    """The fact loaded in two runs: what had been modified up to the cuts, then everything newer."""
+    existing = sinks.written(_first_load(x)["fct_transactions"], "fct-first")
     return fct_transactions_incremental(existing, x.raw, x.cities, tv.INCREMENTAL_CUTS, AS_OF)
 
 
+@query("fct_transactions_merged")
+def _fct_transactions_merged(x: Inputs) -> DataFrame:
+    """The fact table after a first load and a merge that rewrites the touched months."""
+    table = f"fct_transactions_{uuid.uuid4().hex}"
+    fct = _first_load(x)["fct_transactions"]
+    sinks.write_table(fct, table, MART_PARTITIONS["fct_transactions"], as_table=True)
+    merge_fct_transactions(x.spark, table, x.raw, x.cities, tv.INCREMENTAL_CUTS, AS_OF)
+    return x.spark.table(table).select(*fct.columns)
+
+
+@query("dim_customers_incremental")
+def _dim_customers_incremental(x: Inputs) -> DataFrame:
+    """The dimension loaded in two runs, as the fact."""
+    existing = sinks.written(_first_load(x)["dim_customers"], "dim-first")
+    return dim_customers_incremental(existing, x.raw, tv.INCREMENTAL_CUTS, AS_OF)
+
+
+@query("dim_customers_history")
+def _dim_customers_history(x: Inputs) -> DataFrame:
+    """Every state that a customer has been in, with its validity."""
+    return dim_customers_history(x.raw["customers"])
+
+
+@query("fct_customer_as_of")
+def _fct_customer_as_of(x: Inputs) -> DataFrame:
+    """Every transaction with its customer as of its date."""
+    return fct_customer_as_of(x.m["stg_transactions"], x.m["stg_accounts"], dim_customers_history(x.raw["customers"]))
+
+
 # ---------------------------------------------------------------- projections and scalars
 
 @query("scalar_upper")

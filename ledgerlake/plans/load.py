@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..operators.incremental import full_load_watermarks
 from ..sources.sinks import read_back, write_table
-from .pipeline import MART_PARTITIONS, MARTS, Models, fct_transactions_incremental, require_unique_cities
+from .merge import fct_transactions_incremental
+from .pipeline import MART_PARTITIONS, MARTS, Models, require_unique_cities
 
 POINTER = "CURRENT"
 

@@ -1,4 +1,7 @@
-"""Build every model from the raw tables: the whole DAG as lazy DataFrames."""
+"""Build every model from the raw tables: the whole DAG as lazy DataFrames.
+
+``plans.merge`` holds the incremental forms of the marts.
+"""
 
 from __future__ import annotations
 
@@ -103,39 +106,3 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], cities: DataFra
             write_table(staged[name], path, partitions)
             out[name] = read_back(spark, path, staged[name])
     return out
-
-
-def fct_transactions_incremental(existing_fct: DataFrame, raw: dict[str, DataFrame], cities: DataFrame,
-                                 since, as_of=None) -> DataFrame:
-    """The fact after an increment, equal to a full rebuild from ``raw``.
-
-    ``since`` maps customers, accounts and transactions to their bookmarks
-    (modification times).  ``existing_fct`` must be the fact of the raw rows
-    up to them.  Rebuilt are the transactions that
-
-    * have a raw version modified after the bookmark (late rows and changes
-      of any date; all their versions are read, so the staging order decides
-      which one is the latest), or
-    * stand in the fact under an account that was modified since, or whose
-      customer was.
-
-    Ids are matched null-safely.  Left out on purpose, as in the source's
-    extract (strict ``>``): raw rows whose modification time is NULL or not
-    after the bookmark, and changes of the city seed, which need a full build.
-    """
-    from ..functions.scalars import id_to_string
-    from ..operators.incremental import extract_since, upsert
-
-    changed = {t: extract_since(raw[t], "last_modified_date", since[t]) for t in ("customers", "accounts", "transactions")}
-    accounts = S.stg_accounts(raw["accounts"], as_of)
-    customers = changed["customers"].select(F.col("customer_id").alias("_customer")).distinct()
-    of_customers = accounts.join(customers, F.col("customer_id") == F.col("_customer"), "left_semi")
-    touched_accounts = (changed["accounts"].select("account_id").unionByName(of_customers.select("account_id"))
-                        .distinct().withColumnRenamed("account_id", "_account"))
-    stale = existing_fct.join(touched_accounts, F.col("account_id") == F.col("_account"), "left_semi")
-    ids = (changed["transactions"].select(id_to_string("transaction_id").alias("_id"))
-           .unionByName(stale.select(F.col("transaction_id").alias("_id"))).distinct())
-    versions = raw["transactions"].join(ids, id_to_string("transaction_id").eqNullSafe(F.col("_id")), "left_semi")
-    delta = M.fct_transactions(S.stg_transactions(versions), accounts, S.stg_customers(raw["customers"], as_of), cities)
-    kept = existing_fct.join(ids, F.col("transaction_id").eqNullSafe(F.col("_id")), "left_anti")
-    return kept.unionByName(delta)

@@ -22,8 +22,12 @@ from ..operators.dedup import keep_latest
 
 
 def stg_customers(raw: DataFrame, as_of=None) -> DataFrame:
-    latest = keep_latest(raw, ["customer_id"], ["last_modified_date"])
-    return latest.select(
+    return customer_columns(keep_latest(raw, ["customer_id"], ["last_modified_date"]), as_of)
+
+
+def customer_columns(versions: DataFrame, as_of=None) -> DataFrame:
+    """The staged columns of customer versions, row by row."""
+    return versions.select(
         "customer_id",
         "first_name",
         "last_name",

@@ -12,7 +12,8 @@ from ledgerlake import schemas
 from ledgerlake.catalog import AS_OF, Inputs
 from ledgerlake.config import shared_dir
 from ledgerlake.plans import load as L
-from ledgerlake.plans.pipeline import Models, fct_transactions_incremental
+from ledgerlake.plans.merge import fct_transactions_incremental
+from ledgerlake.plans.pipeline import Models
 from ledgerlake.sources import testviews as tv
 
 SF = "/root/testdata/sf0.001"
