@@ -190,7 +190,7 @@ def test_jaccard_join(docs_of, page, spare):
     texts += texts[-3:] * 5
     data = list(enumerate(texts)) + [(None, texts[-1]), (None, None), (20, texts[20]), (20, texts[20])]
     docs = docs_of(data, extra="node n grp tree idx")
-    s = jaccard_join.Settings(words=4, percent=85, page=page, fan=3, spare=spare, least_groups=1 << 8)
+    s = jaccard_join.Settings(words=4, percent=85, page=page, fan=3, spare=spare, groups=1 << 8)
     out = jaccard_join.linked(docs, s).collect()
     assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in out) == brute_components(data, 4, 85)
     assert jaccard_join.linked(docs.limit(0), s).count() == 0
