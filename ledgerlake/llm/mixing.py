@@ -9,9 +9,10 @@ over the table of sources, so any number of sources works and only sums
 reach the driver.
 
 The weights times a budget of tokens give each source's tokens.  They are
-realised by permutations in blocks: a hash deals a source's rows to a fixed
-number of blocks, blocks and the rows in each are ordered by hashes, and a
-row's position is its block's start plus the tokens before it in the block.
+realised by permutations in blocks: a hash of id and text deals a source's rows
+to blocks, whose number follows the number of rows, blocks and the rows in each
+are ordered by hashes, and a row's position is its block's start plus the
+tokens before it in the block.
 Every full pass over a source gives each of its rows one copy; the part pass
 that is left gives one more to the rows that end within it.  A source that
 holds a third of all rows is spread over its blocks, never ordered in one
@@ -22,9 +23,11 @@ with the least weight for its size is used exactly once, the others as often
 as their weights say.
 
 Null sources are a source of their own.  Null and empty texts have no tokens
-and get the full passes' copies, at least one (they cost nothing).  Repeated
-rows and null ids are rows like any; order among equal hashes is by the
-row's size.  Empty input gives an empty result.
+and get the full passes' copies, at least one (they cost nothing).  Very long
+texts count whole.  Repeated rows and null ids are rows like any, dealt by their
+texts; rows with equal id and text are ordered by a hash of the whole row.
+Empty input gives an empty result.  Other columns can have any name but those
+that begin with ``_mx`` or ``_ll_``.
 """
 
 from __future__ import annotations
@@ -44,7 +47,8 @@ class Settings:
     entropy: float | None = 0.95      # of the entropy of equal weights, or None
     repeats: float | None = None      # most passes over a source, or None
     budget: int | None = None         # tokens to realise, or None for the least that drops nothing
-    blocks: int = 1024                # of a source's permutation
+    blocks: int = 1024                # of a source's permutation, at least
+    block_rows: int = 16384           # and one more for each so many rows of the table
     seed: int = 3
     steps: int = 7                    # of bisection, each by 1 / (points + 1)
     points: int = 31
@@ -57,7 +61,8 @@ def words_in(text: Column) -> Column:
 
 def _sources(rows: DataFrame) -> DataFrame:
     """(source, tokens, p): shares among sources that have tokens."""
-    sums = materialize(rows.groupBy("_mx_source").agg(F.sum("_mx_tokens").alias("_mx_total")), "sources")
+    sums = materialize(rows.groupBy("_mx_source").agg(
+        F.sum("_mx_tokens").alias("_mx_total"), F.count(F.lit(1)).alias("_mx_rows")), "sources")
     total = sums.agg(F.sum("_mx_total")).first()[0] or 0
     return sums.withColumn("_mx_p", F.when(F.col("_mx_total") > 0, F.col("_mx_total") / F.lit(float(max(total, 1)))))
 
@@ -116,19 +121,25 @@ def weights(sources: DataFrame, s: Settings) -> DataFrame:
 
 
 def mixed(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", source_col: str = "source",
-          tokens: Column | None = None, text_col: str = "text", out: str = "_mx") -> DataFrame:
-    """``docs`` plus a struct ``out``: n_tokens, weight, block, position, copies (0 and more)."""
+          tokens: Column | None = None, text_col: str = "text", out: str = "_mx",
+          digest: Column | None = None) -> DataFrame:
+    """``docs`` plus a struct ``out``: n_tokens, weight, block, position, copies (0 and more).
+
+    ``tokens`` and ``digest`` (of the text) are computed from the text if not given.
+    """
     s = settings
     count = tokens if tokens is not None else words_in(F.col(f"`{text_col}`"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
+    digest = digest if digest is not None else F.md5(F.col(f"`{text_col}`"))
+    key = F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.lit(":"), F.coalesce(digest, F.lit("")))
     source = F.col(f"`{source_col}`").cast("string")
     source = F.when(source.isNull(), "null").otherwise(F.concat(F.lit("="), source))  # never null: plain join keys
     rows = docs.select(row.alias("_mx_row"), source.alias("_mx_source"), count.alias("_mx_tokens"),
                        F.md5(F.concat(F.lit(f"{s.seed}:"), key)).alias("_mx_hash"))
-    rows = rows.withColumn("_mx_block", (F.conv(F.substring("_mx_hash", 1, 8), 16, 10).cast("long")
-                                         % s.blocks).cast("int"))
-    found = weights(_sources(rows.select("_mx_source", "_mx_tokens")), s)
+    sources = _sources(rows.select("_mx_source", "_mx_tokens"))
+    blocks = max(s.blocks, -(-(sources.agg(F.sum("_mx_rows")).first()[0] or 0) // s.block_rows))
+    rows = rows.withColumn("_mx_block", (F.conv(F.substring("_mx_hash", 1, 8), 16, 10).cast("long") % blocks).cast("int"))
+    found = weights(sources, s)
 
     # Starts of the blocks within their source: a few numbers per source.
     per_block = rows.groupBy("_mx_source", "_mx_block").agg(F.sum("_mx_tokens").alias("_mx_in_block"))
@@ -138,7 +149,7 @@ def mixed(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_i
     plan = materialize(starts.join(found, "_mx_source").select(
         "_mx_source", "_mx_block", "_mx_start", "_mx_total", "_mx_weight", "_mx_budget"), "mixing-plan")
 
-    within = Window.partitionBy("_mx_source", "_mx_block").orderBy("_mx_hash", "_mx_tokens").rowsBetween(
+    within = Window.partitionBy("_mx_source", "_mx_block").orderBy("_mx_hash", "_mx_tokens", F.xxhash64("_mx_row")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumn("_mx_end", F.sum("_mx_tokens").over(within))
     placed = placed.join(plan, ["_mx_source", "_mx_block"])
@@ -162,8 +173,10 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id"
 
 
 def op5_temperature_mixing(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    slim = docs.select("doc_id", "source", words_in(F.col("text")).alias("n_tokens"))
-    done = mixed(slim, settings, tokens=F.col("n_tokens"))
+    # Numbers and a digest are written once, so that texts are read once.
+    slim = materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("n_tokens"), F.md5("text").alias("digest")),
+                       "mixing-rows")
+    done = mixed(slim, settings, tokens=F.col("n_tokens"), digest=F.col("digest"))
     return done.select("doc_id", "source", "n_tokens", F.round("_mx.weight", 6).alias("weight"), "_mx.block",
                        "_mx.position", "_mx.copies")
 
@@ -175,8 +188,9 @@ with recursive rows_ as (
   select row_number() over () as rid, doc_id, source,
          case when source is null then 'null' else '=' || source end as s,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as n,
-         md5('{s.seed}:' || coalesce(doc_id::varchar, '')) as h from documents),
-dealt as (select *, (('0x' || substr(h, 1, 8))::bigint % {s.blocks})::int as block from rows_),
+         md5('{s.seed}:' || coalesce(doc_id::varchar, '') || ':' || coalesce(md5(text), '')) as h from documents),
+dealt as (select *, (('0x' || substr(h, 1, 8))::bigint % greatest({s.blocks},
+                 ((select count(*) from rows_) + {s.block_rows - 1}) // {s.block_rows}))::int as block from rows_),
 sources as (select s, sum(n) as total from dealt group by s),
 shares as (select s, total, total / sum(total) over () as p from sources where total > 0),
 search(step, low, high) as (
