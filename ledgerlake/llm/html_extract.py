@@ -1,7 +1,8 @@
 """Main-text extraction from HTML by tree scoring (operator 1).
 
-A tolerant parse builds the element tree and, in page order, its text blocks.
-Boilerplate subtrees (menus, page headers, footers, sidebars, notices,
+A tolerant parse, one forward scan, builds the element tree and, in page order,
+its text blocks.  A tag, comment or script that the page's end cuts off is
+dropped, as in browsers.  Boilerplate subtrees (menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are cut while parsing.
 Every paragraph-like block then passes points for its length and its commas
 to its ancestors, less with distance; an element's points are discounted by
@@ -11,14 +12,18 @@ ancestors and isn't mostly links.  Lists of links go where they stand outside
 the prose.
 
 Null or empty html gives an empty text; a page in which nothing scores keeps
-all its remaining blocks.  Pages are independent rows, so repeated rows and
-null ids pass through, and the work needs no shuffle.
+all its remaining blocks; of containers with equal scores the innermost counts.
+Very long pages are parsed whole, in time that follows their length.  Pages
+are independent rows, so repeated rows and null ids pass through, an empty
+table gives no rows, and the work needs no shuffle.  Only id, url and html are
+read, so other columns can have any name.
 """
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from collections.abc import Iterator
+from html import unescape
 
 from pyspark.sql import DataFrame
 
@@ -48,8 +53,16 @@ LIST_WORDS = frozenset(
     "replies".split())
 #: Names an article has for its kind or state, not for what it is.
 ARTICLE_KIND = re.compile(r"(?i)^(category|tag|type|format|status|post|has|with|no)[-_]|[-_](open|closed|enabled|disabled)$")
+#: Words that only say which part of a page's furniture an element is: "share-buttons", but not "share-prices".
+FURNITURE_WORDS = frozenset(
+    "area aside bar block body bottom box button buttons card cards center close col column container content count "
+    "counter desktop element feed form group head heading holder icon icons inline inner item items label large left "
+    "link links list main medium mobile module off on outer page pane panel popular post posts primary right row "
+    "secondary section slot small story stories tab tabs text thread title toggle top unit wrap wrapper".split())
+#: Elements that are prose whatever their id: headings get ids made from their words.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 OPTIONAL_END = frozenset("li p dt dd tr td th option".split())
-UNSEEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.DOTALL | re.IGNORECASE)
+RAW = frozenset(("script", "style"))
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag ends an open element of these kinds, up to the boundary tags.
@@ -82,11 +95,62 @@ class Block:
         self.text, self.owner, self.link_chars = text, owner, link_chars
 
 
-class TreeBuilder(HTMLParser):
+NEXT = re.compile(r"<(?:(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)|(?P<comment>!--)|(?P<other>[!?/]))")
+ATTRIBUTE = re.compile(r"""[\s/]*+(?:(?P<name>[^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"(?P<d>[^"]*+)(?P<de>")?|'(?P<s>[^']*+)(?P<se>')?|(?P<u>[^\s>]*+)))?+)?+""")
+COMMENT_END = re.compile("--!?>")
+
+Token = tuple[str, str, dict]  # kind ("text", "start" or "end"), text or tag, attributes
+
+
+def _attributes(html: str, at: int) -> tuple[dict, int]:
+    """The attributes from ``at`` on, and the place after the tag; -1 if the page ends within it."""
+    attrs: dict[str, str] = {}
+    while True:
+        m = ATTRIBUTE.match(html, at)
+        at = m.end()
+        if m["name"] is None:
+            return attrs, at + 1 if at < len(html) else -1
+        value = next((v for v in (m["d"], m["s"], m["u"]) if v is not None), "")
+        if m["d"] is not None and m["de"] is None or m["s"] is not None and m["se"] is None:
+            return attrs, -1
+        attrs.setdefault(m["name"].lower(), unescape(value) if "&" in value else value)
+
+
+def tokens(html: str) -> Iterator[Token]:
+    """Texts, start tags and end tags of a page in one forward scan.
+
+    What scripts and styles hold and what the page's end cuts off are left out.
+    """
+    at, size = 0, len(html)
+    while at < size:
+        m = NEXT.search(html, at)
+        if m is None:
+            yield "text", unescape(html[at:]), {}
+            return
+        if m.start() > at:
+            yield "text", unescape(html[at:m.start()]), {}
+        if m["tag"] is None:
+            if m["comment"]:
+                end = COMMENT_END.search(html, m.end() - 2 if html.startswith(">", m.end()) else m.end())
+                at = end.end() if end else -1
+            else:
+                at = html.find(">", m.end()) + 1 or -1
+        else:
+            tag = m["tag"].lower()
+            attrs, at = _attributes(html, m.end())
+            if at >= 0:
+                yield "end" if m["end"] else "start", tag, attrs
+                if tag in RAW and not m["end"]:  # no markup up to its end tag
+                    end = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(html, at)
+                    at = end.start() if end else -1
+        if at < 0:
+            return
+
+
+class TreeBuilder:
     """Elements and text blocks of a page, in page order; tolerant of unclosed and stray tags."""
 
-    def __init__(self, cut_forms: bool = True):
-        super().__init__(convert_charrefs=True)
+    def __init__(self, page: str, cut_forms: bool = True):
         self.cut_forms = cut_forms
         self.blocks: list[Block] = []
         self.root = Element("#root", None, "", 0)
@@ -96,12 +160,16 @@ class TreeBuilder(HTMLParser):
         self.in_link = self.link_chars = 0
         #: Start less end tags, of those seen and of the whole page.
         self.seen: dict[str, int] = {}
-        self.whole: dict[str, int] = {}
-        self.page = ""
+        self.whole: dict[str, int] | None = None
+        self.page = page
 
-    def feed(self, data: str) -> None:
-        self.page += data
-        super().feed(data)
+    def build(self) -> "TreeBuilder":
+        handle = {"text": lambda data, _: self.handle_data(data), "start": self.handle_starttag,
+                  "end": lambda tag, _: self.handle_endtag(tag)}
+        for kind, what, attrs in tokens(self.page):
+            handle[kind](what, attrs)
+        self.close()
+        return self
 
     def flush(self) -> None:
         if self.parts:
@@ -127,7 +195,6 @@ class TreeBuilder(HTMLParser):
         self.stack.pop()
 
     def close(self) -> None:
-        super().close()
         while len(self.stack) > 1:
             self.pop()
         self.flush()
@@ -160,22 +227,31 @@ class TreeBuilder(HTMLParser):
             return "tag"
         if tag in ("html", "body", "main"):
             return ""
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
+        inside = any(self.open.get(t) for t in SEMANTIC)
+        classes, slug = (attrs.get("class") or "").split(), (attrs.get("id") or "").split()
         if tag == "article":
-            names = " ".join(x for x in names.split() if not ARTICLE_KIND.search(x))
-        words = {w.lower() for w in NAME_WORDS.findall(names)}
+            classes, slug = ([x for x in names if not ARTICLE_KIND.search(x)] for names in (classes, slug))
+        # In an article, and in ids anywhere, a word cuts only a name that says nothing else.
+        names = [(x, inside or tag in PROSE) for x in classes] + [(x, True) for x in slug if tag not in PROSE]
+        words = set()
+        for name, strict in names:
+            found = {w.lower() for w in NAME_WORDS.findall(name)}
+            if not strict or all(w in CUT_WORDS or w in FURNITURE_WORDS or w == "header" or w.isdigit() for w in found):
+                words |= found
         if words & LIST_WORDS:
             return "list"
-        if words & CUT_WORDS or "header" in words and not any(self.open.get(t) for t in SEMANTIC):
+        if words & CUT_WORDS or "header" in words and not inside:
             return "name"
         return ""
 
     def ends_later(self, tag: str) -> int:
         """End tags of ``tag`` still to come, less those of elements that start later."""
-        if tag not in self.whole:
-            tags = re.findall(rf"<(/?){tag}(?=[\s/>])", UNSEEN.sub("", self.page), re.IGNORECASE)
-            self.whole[tag] = sum(-1 if end else 1 for end in tags)
-        return self.seen.get(tag, 0) - self.whole[tag]
+        if self.whole is None:
+            self.whole = {}
+            for kind, what, _ in tokens(self.page):
+                if kind != "text":
+                    self.whole[what] = self.whole.get(what, 0) + (1 if kind == "start" else -1)
+        return self.seen.get(tag, 0) - self.whole.get(tag, 0)
 
     def leave_unclosed(self, tag: str) -> None:
         """Ends cut elements that an article or main can't stand in: they were left open, or hold the whole page.
@@ -197,7 +273,7 @@ class TreeBuilder(HTMLParser):
         while len(self.stack) > last:
             self.pop()
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def handle_starttag(self, tag: str, attrs: dict) -> None:
         if tag in VOID:
             if tag in ("br", "img", "wbr") or self.stack[-1].cut:
                 if tag == "br":
@@ -219,16 +295,13 @@ class TreeBuilder(HTMLParser):
         if tag not in INLINE:
             self.flush()
         parent = self.stack[-1]
-        e = Element(tag, parent, self.boilerplate(tag, dict(attrs)), len(self.blocks))
+        e = Element(tag, parent, self.boilerplate(tag, attrs), len(self.blocks))
         parent.children.append(e)
         self.stack.append(e)
         self.open[tag] = self.open.get(tag, 0) + 1
         if tag == "a":
             self.in_link += 1
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # as in html, <div/> is a start tag
-
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.parts.append(" ")
@@ -300,11 +373,16 @@ def _best(root: Element) -> Element | None:
 
 def _kept(best: Element, blocks: list[Block]) -> list[tuple[int, int]]:
     """Spans of blocks: the best container's, and what belongs with it."""
-    if best.tag in SEMANTIC and best.parent is not None:
-        return [(s.first, s.last) for s in best.parent.children if s is best or s.tag == best.tag and not s.cut]
     def is_prose(chars: int, link_chars: int) -> bool:
-        return chars > 1 and link_chars < LINKS * chars  # a single character (a bullet, a closing mark) is no prose
+        return chars > 0 and link_chars < LINKS * chars
+
+    def belongs(e: Element) -> bool:
+        """Beside a best article: other ones, and sections with a heading of their own."""
+        return e is best or not e.cut and (e.tag == best.tag or e.tag == "section" and is_prose(e.chars, e.link_chars)
+                                           and any(c.tag in PROSE - {"p"} for c in e.children))
 
+    if best.tag in SEMANTIC and best.parent is not None:
+        return [(x.first, x.last) for x in best.parent.children if belongs(x)]
     spans, e, above = [(best.first, best.last)], best, set()
     while e.parent is not None:
         e, inner = e.parent, e
@@ -339,9 +417,7 @@ def extract(html: str | None) -> str:
     if not html:
         return ""
     for cut_forms in (True, False):  # some pages stand in one form as a whole
-        tree = TreeBuilder(cut_forms)
-        tree.feed(html)
-        tree.close()
+        tree = TreeBuilder(html, cut_forms).build()
         if tree.blocks:
             break
     blocks = tree.blocks

@@ -38,7 +38,7 @@ MAIN = ("Title & more\n\nFirst para, with bold and a link. Next line.\n\nSecond
     ("<nav>menu<article><p>Unclosed menu.</p></article>", "Unclosed menu."),
     ("<form><p>All in one form.</p></form>", "All in one form."),
     ("<div><p>" + "Long text, with commas, " * 9 + "</p></div><div><p>x</p></div>",
-     ("Long text, with commas, " * 9).strip()),
+     ("Long text, with commas, " * 9).strip() + "\n\nx"),
     ("<article><p><b>bold never closed<br><p>next</article>after", "bold never closed\n\nnext"),
     ("<script>alert(1)", ""), ("<p>a &lt; b < c", "a < b < c"), ("<td>x</td></b></p></div><p>y", "x\n\ny"),
 ])
@@ -83,6 +83,67 @@ def test_all_prose_beside_the_best_container_stays(html, blocks):
     assert html_extract.extract(f"<body>{html}</body>") == "\n\n".join(blocks)
 
 
+@pytest.mark.parametrize("html, blocks", [
+    ("<article><h2 id=related-work>Related work</h2><section id=share-prices><p>Prices rose.</p></section>"
+     "<p class=social-policy>Policy.</p><h3 id=comments>Comments on it</h3><div class=share-buttons>Share!</div>"
+     "<div class='newsletter signup'>Join</div><div id=comment-12>Reader</div></article>",
+     ["Related work", "Prices rose.", "Policy.", "Comments on it"]),
+    ("<article><h1>A</h1><p>One, two.</p></article><section><h2>Part two</h2><p>Three.</p></section>",
+     ["A", "One, two.", "Part two", "Three."]),
+    ("<article><h1>A</h1><p>One, two.</p></article><section class=related><h2>Other</h2><p>Teaser.</p></section>", ["A", "One, two."]),
+    (f"<div><p>{LONG}</p></div><div id=share-prices><p>Prices.</p></div><div id=sidebar><p>Side.</p></div>", [LONG, "Prices."]),
+])
+def test_names_in_prose_cut_nothing(html, blocks):
+    assert html_extract.extract(f"<body>{html}</body>") == "\n\n".join(blocks)
+
+
+@pytest.mark.parametrize("tail", ["<a ", "<!--", "<script", "<script>", "<a href='", '<a b="', "<", "</", "<!", "<a>", "<b><p>",
+                                  "&amp", "<style", "<ul><li>", "<nav>", "<div class=ad><article>", "</div>", "<!-- -", "<table><td>"])
+def test_hostile_pages_take_linear_time(tail):
+    import time
+
+    page = "<article><p>Text, of the page.</p></article>" + tail * (1_000_000 // len(tail))
+    began = time.process_time()
+    assert html_extract.extract(page).startswith("Text, of the page.")
+    assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("html, found", [
+    ("a<!-- x > y --><b c='>' d=\"e&amp;f\" g=h i>t</b >&lt;", [("text", "a", {}), ("start", "b", {"c": ">", "d": "e&f", "g": "h", "i": ""}),
+                                                          ("text", "t", {}), ("end", "b", {}), ("text", "<", {})]),
+    ("<script>if (a</b) '</scripts>'</SCRIPT>x", [("start", "script", {}), ("end", "script", {}), ("text", "x", {})]),
+    ("<!-->a<!doctype html>b<?php ?>c</>d< e<f", [("text", "a", {}), ("text", "b", {}), ("text", "c", {}), ("text", "d< e", {})]),
+])
+def test_tokens(html, found):
+    assert list(html_extract.tokens(html)) == found
+
+
+def test_generated_pages():
+    """Pages made from known blocks between known boilerplate: the text is the blocks."""
+    rng = random.Random(8)
+    words = "river stone light, morning garden, window letter Other share comment menu social".split()
+    junk = ["<nav><ul><li><a href=a>Home</a><li><a href=b>News</a></ul></nav>", "<aside><p>Side, note.</p></aside>",
+            "<div class=ad-banner><p>Buy, now, cheap.</p></div>", "<script>if (a < b) { '</div>' }</script>", "<!-- <p>old</p> -->",
+            "<form><input name=q><p>Search</p></form>", "<div id=cookie-notice>We use cookies.</div>",
+            "<section class=comments><p>Reader, says.</p></section>", "<style>p > a {}</style>", "<footer>Foot, note</footer>"]
+    for _ in range(200):
+        blocks, body = [], []
+        for n in range(rng.randint(2, 12)):
+            text = " ".join(rng.choice(words) for _ in range(rng.randint(3, 60)))
+            slug = rng.choice(["", f" id={'-'.join(rng.sample(['share', 'related', 'prices', 'history', 'menu', 'work'], 2))}-{n}x"])
+            tag = rng.choice(["p", "h2", "p", "blockquote", "pre"])
+            close = "" if tag == "p" and rng.random() < 0.3 else f"</{tag}>"
+            wrap = rng.choice(["", "section", "div"])
+            inner = f"<{tag}{slug if tag in ('p', 'h2') else ''}>{text.replace(' ', rng.choice([' ', '  ', chr(10)]))}{close}"
+            body.append(f"<{wrap}>{inner}</{wrap}>" if wrap else inner)
+            blocks.append(text)
+            if rng.random() < 0.4:
+                body.append(rng.choice(junk))
+        outer = [rng.choice(junk) for _ in range(rng.randint(0, 4))]
+        page = "".join(outer) + "<article>" + "".join(body) + "</article>" + "".join(rng.sample(junk, 3))
+        assert html_extract.extract(f"<html><body>{page}</body></html>") == "\n\n".join(blocks)
+
+
 def test_extract_deep_and_long():
     deep = "<div>" * 20000 + "<p>inner</p>" + "</div>" * 20000
     assert html_extract.extract(deep) == "inner"
