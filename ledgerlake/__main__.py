@@ -1,7 +1,7 @@
 """Command line: build the marts, load an increment, or run the data-quality checks.
 
     spark-submit --py-files ledgerlake.zip run_ledgerlake.py run  --raw <dir|schema> --out <shared dir> [--as-of YYYY-MM-DD]
-    spark-submit --py-files ledgerlake.zip run_ledgerlake.py load --raw <dir|schema> --out <shared dir> [--as-of YYYY-MM-DD]
+    spark-submit --py-files ledgerlake.zip run_ledgerlake.py load --raw <dir|schema> --schema <catalog schema> [--in-place] [--as-of YYYY-MM-DD]
     spark-submit --py-files ledgerlake.zip run_ledgerlake.py test --raw <dir|schema> [--select TABLE ...]
 
 ``--raw`` holds one table per name (customers, accounts, transactions,
@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 from .catalog import DQ_ACCEPTED, DQ_MODEL_UNIQUE, DQ_NOT_NULL, DQ_RELATIONSHIPS
 from .config import apply_settings, input_bytes
 from .operators.quality import run_checks
-from .plans.load import current_run, load
+from .plans.load import load, published_run
 from .plans.pipeline import Models, run_pipeline
 from .sources.raw import read_raw, read_seed
 
@@ -45,8 +45,11 @@ def main(argv=None) -> int:
         p.add_argument("--as-of", default=None, help="evaluation date (default: today)")
         p.add_argument("--input-bytes", type=int, default=None,
                        help="volume that sizes the shuffles (default: the size of the raw tables)")
-        if name != "test":
+        if name == "run":
             p.add_argument("--out", required=True, help="shared output folder")
+        elif name == "load":
+            p.add_argument("--schema", required=True, help="catalog schema of the marts and marks")
+            p.add_argument("--in-place", action="store_true", help="replace the fact's touched months instead of writing a copy")
         else:
             p.add_argument("--select", nargs="*", default=None, help="tables to check (default: all)")
             p.add_argument("--accepted", action="store_true", help="check accepted values too")
@@ -68,8 +71,8 @@ def main(argv=None) -> int:
             print(f"{name}: written to {f'{args.schema}.{name}' if args.schema else os.path.join(args.out, 'mart', name)}")
         return 0
     if args.cmd == "load":
-        load(spark, raw, cities, args.out, args.as_of)
-        print(f"loaded: {current_run(spark, args.out)}")
+        load(spark, raw, cities, args.schema, args.as_of, args.in_place)
+        print(f"loaded: run {published_run(spark, args.schema)}")
         return 0
 
     models = Models(raw, cities, args.as_of)

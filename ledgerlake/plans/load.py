@@ -1,9 +1,19 @@
-"""The incremental run: read the marks, extract, merge, write a new run, then switch to it.
-
-Every run writes its marts and marks into a folder of its own.  A pointer
-file names the current run; it is replaced, atomically, after everything is
-written, so a run that fails leaves the previous marts readable and its
-marks as they were.
+"""The incremental run: read the marks, extract, merge, write the run's tables, then publish them by views.
+
+Every run writes its marts and marks as catalog tables of its own
+(``fct_transactions_r<run>`` and so on); ``CREATE OR REPLACE VIEW`` makes them
+what readers of ``fct_transactions``, ``dim_customers`` and ``load_marks`` see.
+Marks are published last.  A run that fails before has changed nothing that
+its readers or its successor see; one that fails between leaves older marks,
+and the next run extracts and merges the same rows again to the same result.
+
+With ``in_place`` the fact is one table whose touched months are replaced
+(``merge.merge_fct_transactions``): at volume a run then writes what changed
+instead of a copy of the fact.  Its months are replaced one after another, so
+a reader may see some before others.
+
+The tables need a catalog that outlives the session (a metastore); the
+in-memory one serves tests.
 """
 
 from __future__ import annotations
@@ -12,68 +22,84 @@ import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .. import schemas
 from ..operators.incremental import full_load_watermarks
-from ..sources.sinks import read_back, write_table
-from .merge import fct_transactions_incremental
-from .pipeline import MART_PARTITIONS, MARTS, Models, require_unique_cities
+from ..sources.sinks import register_views, write_table
+from .merge import dim_customers_incremental, fct_transactions_incremental, merge_fct_transactions
+from .pipeline import MART_PARTITIONS, MART_PROPERTIES, MARTS, MODEL_ORDER, Models, require_unique_cities
+
+MARKS = "load_marks"
 
-POINTER = "CURRENT"
+
+def read_marks(spark: SparkSession, schema: str) -> dict | None:
+    """Bookmark per raw table (four rows); None before the first run."""
+    if not spark.catalog.tableExists(f"{schema}.{MARKS}"):
+        return None
+    return {r["table_name"]: r["last_watermark"] for r in spark.table(f"{schema}.{MARKS}").collect()}
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+def run_table(schema: str, name: str, run: str) -> str:
+    return f"{schema}.{name}_r{run}"
 
 
-def current_run(spark: SparkSession, out_dir: str) -> str | None:
-    """The folder of the current run; None before the first."""
-    path, fs = _fs(spark, f"{out_dir}/{POINTER}")
-    if not fs.exists(path):
+def publish(spark: SparkSession, schema: str, name: str, run: str) -> None:
+    """Readers of the view ``name`` see the run's table from now on."""
+    spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS SELECT * FROM {run_table(schema, name, run)}")
+
+
+def published_run(spark: SparkSession, schema: str) -> str | None:
+    """The run that the marks' view shows; None before the first."""
+    if not spark.catalog.tableExists(f"{schema}.{MARKS}"):
         return None
-    stream = fs.open(path)
-    try:
-        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return f"{out_dir}/runs/{name.strip()}"
-
-
-def switch_to(spark: SparkSession, out_dir: str, name: str) -> None:
-    """Makes ``name`` the current run: a new file is renamed over the pointer."""
-    target, fs = _fs(spark, f"{out_dir}/{POINTER}")
-    fresh, _ = _fs(spark, f"{out_dir}/.{POINTER}-{uuid.uuid4().hex}")
-    stream = fs.create(fresh, True)
-    stream.write(bytearray(name.encode()))
-    stream.close()
-    jvm = spark._jvm
-    over = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
-    over[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fresh, target, over)
-
-
-def read_marks(spark: SparkSession, run: str) -> dict:
-    """Bookmark per raw table (four rows)."""
-    rows = spark.read.schema(schemas.PIPELINE_WATERMARK).parquet(f"{run}/watermarks").collect()
-    return {r["table_name"]: r["last_watermark"] for r in rows}
-
-
-def load(spark: SparkSession, raw: dict[str, DataFrame], cities: DataFrame, out_dir: str, as_of=None) -> dict[str, DataFrame]:
-    """One run: full the first time, then incremental; returns the marts read back."""
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {schema}.{MARKS}").where("col_name = 'View Text'").first()["data_type"]
+    return text.rpartition("_r")[2].strip("` ")
+
+
+def runs_of(spark: SparkSession, schema: str, name: str) -> list[str]:
+    """The run tables of a mart, oldest first (run names begin with their time)."""
+    found = spark.sql(f"SHOW TABLES IN {schema} LIKE '{name}_r2*'").collect()
+    return sorted(r["tableName"] for r in found)
+
+
+def drop_old_runs(spark: SparkSession, schema: str, keep: int = 2) -> None:
+    """Drops all but the newest ``keep`` tables of each mart; never the published ones."""
+    for name in (*MARTS, MARKS):
+        for table in runs_of(spark, schema, name)[:-max(1, keep)]:
+            if not table.endswith(f"_r{published_run(spark, schema)}"):
+                spark.sql(f"DROP TABLE {schema}.{table}")
+
+
+def load(spark: SparkSession, raw: dict[str, DataFrame], cities: DataFrame, schema: str, as_of=None,
+         in_place: bool = False) -> dict[str, DataFrame]:
+    """One run into the catalog schema ``schema``: full the first time, then incremental; returns the marts.
+
+    The staged and enriched models are registered as views of the session, as
+    ``run_pipeline`` does.
+    """
     require_unique_cities(cities)
-    models, before = Models(raw, cities, as_of), current_run(spark, out_dir)
-    name = f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    run = f"{out_dir}/runs/{name}"
-    frames = {mart: models[mart] for mart in MARTS}
-    if before:
-        like = models["fct_transactions"]
-        existing = read_back(spark, f"{before}/fct_transactions", like)
-        frames["fct_transactions"] = fct_transactions_incremental(existing, raw, cities, read_marks(spark, before), as_of)
-    for mart, df in frames.items():
-        write_table(df, f"{run}/{mart}", MART_PARTITIONS.get(mart, ()))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    models, since = Models(raw, cities, as_of), read_marks(spark, schema)
+    register_views({name: models[name] for name in MODEL_ORDER if name not in MARTS})
+    run = f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
+    # The marks are those of the raw rows that this run reads.
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-    full_load_watermarks(raw, "last_modified_date", now).write.parquet(f"{run}/watermarks")
-    switch_to(spark, out_dir, name)
-    return {mart: read_back(spark, f"{run}/{mart}", models[mart]) for mart in MARTS}
+    write_table(full_load_watermarks(raw, "last_modified_date", now), run_table(schema, MARKS, run), as_table=True)
+
+    fct, dim = f"{schema}.fct_transactions", f"{schema}.dim_customers"
+    options = dict(partition_by=MART_PARTITIONS["fct_transactions"], properties=MART_PROPERTIES["fct_transactions"], as_table=True)
+    first_fct = fct if in_place else run_table(schema, "fct_transactions", run)
+    if since is None:
+        write_table(models["fct_transactions"], first_fct, **options)
+        new_dim = models["dim_customers"]
+    else:
+        if in_place:
+            merge_fct_transactions(spark, fct, raw, cities, since, as_of)
+        else:
+            write_table(fct_transactions_incremental(spark.table(fct).select(*models["fct_transactions"].columns),
+                                                     raw, cities, since, as_of), first_fct, **options)
+        new_dim = dim_customers_incremental(spark.table(dim).select(*models["dim_customers"].columns), raw, since, as_of)
+    write_table(new_dim, run_table(schema, "dim_customers", run), as_table=True)
+    for name in (*(() if in_place else ("fct_transactions",)), "dim_customers", MARKS):
+        publish(spark, schema, name, run)
+    return {mart: spark.table(f"{schema}.{mart}").select(*[F.col(c) for c in models[mart].columns]) for mart in MARTS}

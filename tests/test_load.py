@@ -65,42 +65,50 @@ def test_incremental_fact_equals_rebuild_on_hard_rows(spark):
     assert rows(again) == rows(merged)  # a run repeated changes nothing
 
 
-def test_two_loads_equal_one_and_a_failed_one_changes_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("in_place", [False, True])
+def test_two_loads_equal_one_and_a_failed_one_loses_nothing(spark, monkeypatch, in_place):
     x = Inputs(spark, SF)
-    out = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
+    schema = f"load_{uuid.uuid4().hex}"
     first = {t: x.raw[t].where(~F.coalesce(F.col("last_modified_date") > F.lit(tv.INCREMENTAL_CUTS[t]).cast(
         "timestamp_ntz"), F.lit(False))) for t in tv.RAW_NAMES}
-    L.load(spark, first, x.cities, out, AS_OF)
-    run = L.current_run(spark, out)
-    marks = L.read_marks(spark, run)
+    L.load(spark, first, x.cities, schema, AS_OF, in_place)
+    run, marks = L.published_run(spark, schema), L.read_marks(spark, schema)
+    before = rows(spark.table(f"{schema}.fct_transactions"))
+    assert spark.table(f"{schema}.fct_transactions").count() == Models(first, x.cities, AS_OF)["fct_transactions"].count()
+    assert spark.table("stg_customers").columns == x.m["stg_customers"].columns  # the session's views
 
-    monkeypatch.setattr(L, "switch_to", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(L, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
-        L.load(spark, x.raw, x.cities, out, AS_OF)
+        L.load(spark, x.raw, x.cities, schema, AS_OF, in_place)
     monkeypatch.undo()
-    assert L.current_run(spark, out) == run and L.read_marks(spark, run) == marks
-    assert spark.read.parquet(f"{run}/fct_transactions").count() == Models(first, x.cities, AS_OF)["fct_transactions"].count()
+    assert L.published_run(spark, schema) == run and L.read_marks(spark, schema) == marks
+    if not in_place:
+        assert rows(spark.table(f"{schema}.fct_transactions")) == before
 
-    marts = L.load(spark, x.raw, x.cities, out, AS_OF)
-    assert L.current_run(spark, out) != run
+    marts = L.load(spark, x.raw, x.cities, schema, AS_OF, in_place)
+    assert L.published_run(spark, schema) != run
     full = Models(x.raw, x.cities, AS_OF)
     for mart, df in marts.items():
         assert rows(df) == rows(full[mart]), mart
+    assert len(L.runs_of(spark, schema, "dim_customers")) == 3
+    L.drop_old_runs(spark, schema, keep=1)
+    assert len(L.runs_of(spark, schema, "dim_customers")) == 1 and rows(spark.table(f"{schema}.dim_customers")) == rows(full["dim_customers"])
+    table = f"{schema}.fct_transactions" if in_place else f"{schema}.{L.runs_of(spark, schema, 'fct_transactions')[0]}"
+    assert spark.sql(f"SHOW TBLPROPERTIES {table}").where("key = 'delta.columnMapping.mode'").first()["value"] == "name"
 
 
 def test_load_from_the_command_line(spark):
     from ledgerlake.__main__ import main
     x = Inputs(spark, SF)
-    root = f"{shared_dir(spark)}/cli-load-{uuid.uuid4().hex}"
+    root, schema = f"{shared_dir(spark)}/cli-load-{uuid.uuid4().hex}", f"cli_{uuid.uuid4().hex}"
     for t in tv.RAW_NAMES:
         x.raw[t].where(F.col("last_modified_date") <= F.lit(tv.INCREMENTAL_CUTS[t]).cast("timestamp_ntz")).write.parquet(
             os.path.join(root, "raw", t))
-    args = ["load", "--raw", os.path.join(root, "raw"), "--out", f"{root}/out", "--as-of", AS_OF]
+    args = ["load", "--raw", os.path.join(root, "raw"), "--schema", schema, "--as-of", AS_OF]
     assert main(args) == 0
     for t in tv.RAW_NAMES:
         x.raw[t].where(F.col("last_modified_date") > F.lit(tv.INCREMENTAL_CUTS[t]).cast("timestamp_ntz")).write.mode(
             "append").parquet(os.path.join(root, "raw", t))
     assert main(args) == 0
-    run = L.current_run(spark, f"{root}/out")
     known = {t: x.raw[t].where(F.col("last_modified_date").isNotNull()) for t in tv.RAW_NAMES}
-    assert spark.read.parquet(f"{run}/fct_transactions").count() == Models(known, x.cities, AS_OF)["fct_transactions"].count()
+    assert spark.table(f"{schema}.fct_transactions").count() == Models(known, x.cities, AS_OF)["fct_transactions"].count()
