@@ -20,10 +20,12 @@ from .config import shared_dir
 from .functions import bands as B
 from .functions import scalars as S
 from .operators import aggregates as A
+from .operators import expectations as E
 from .operators import incremental as INC
 from .operators import quality as Q
 from .operators.dedup import distinct_rows, keep_latest
 from .operators.joins import bounded_rows, broadcast_row_limit
+from .operators.sketches import distinct_in, monthly_sketches
 from .plans import intermediate as I
 from .plans import marts as M
 from .plans.history import dim_customers_history, fct_customer_as_of
@@ -31,7 +33,7 @@ from .plans.merge import dim_customers_incremental, fct_transactions_incremental
 from .plans.pipeline import MART_PARTITIONS, Models
 from .sources import sinks
 from .sources import testviews as tv
-from .sources.raw import read_seed
+from .sources.raw import REASON, conform_checked, read_seed
 
 AS_OF = "2002-01-01"
 RUN_TS = "2002-01-01 06:00:00"
@@ -605,6 +607,47 @@ def _dq_accepted_values(x):
     return Q.run_checks(x.m, accepted=DQ_ACCEPTED)
 
 
+FCT_CHANNELS = next(v for t, c, v in DQ_ACCEPTED if (t, c) == ("stg_transactions", "channel"))
+
+
+@query("fct_transactions_checked")
+def _fct_transactions_checked(x):
+    """The fact written with its checks in the write: rows by reason of rejection (good: none)."""
+    fct = E.with_reference(x.m["fct_transactions"], "account_id", x.m["stg_accounts"], "account_id", "_known_account")
+    target = os.path.join(shared_dir(x.spark), "marts", f"fct_checked-{uuid.uuid4().hex}")
+    E.write_checked(fct, target, [
+        E.not_null("transaction_date"), E.known("_known_account", "account_id"),
+        E.accepted_values("channel", FCT_CHANNELS), E.between("fraud_score", 0, 50)], drop=["_known_account"])
+    like = x.m["fct_transactions"]
+    parts = E.good(x.spark, target, like).select(F.lit("good").alias("reason")).unionByName(
+        E.rejects(x.spark, target, like).select(F.col(E.REASON).alias("reason")))
+    return parts.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("scan_transactions_checked")
+def _scan_transactions_checked(x):
+    """Raw transactions as text, some values spoilt, read onto the declared schema: rows and amounts by reason."""
+    raw = x.raw["transactions"]
+    spoilt = {"amount": (97, "n/a"), "transaction_date": (101, "soon"), "account_id": (89, "12x")}
+    text = raw.select(*[F.when(F.col("transaction_id") % spoilt[c][0] == 0, F.lit(spoilt[c][1])).otherwise(F.col(c).cast("string")).alias(c)
+                        if c in spoilt else F.col(c).cast("string").alias(c) for c in raw.columns])
+    return conform_checked(text, "transactions").groupBy(F.coalesce(REASON, F.lit("good")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("amount").alias("amount"))
+
+
+@query("agg_distinct_sketched")
+def _agg_distinct_sketched(x):
+    """Distinct merchants and cities per customer from monthly sketches: exact count, and whether the estimate is near."""
+    names = ("merchant_name", "merchant_city")
+    rows = x.m["fct_transactions"].select("customer_id", "transaction_date", *names)
+    estimated = distinct_in(monthly_sketches(rows, ["customer_id"], "transaction_date", names), ["customer_id"], names)
+    exact = rows.groupBy(F.col("customer_id").alias("_c")).agg(*[F.count_distinct(n).alias(f"{n}_exact") for n in names])
+    near = [(F.abs(F.col(f"{n}_distinct") - F.col(f"{n}_exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col(f"{n}_exact")))
+            .alias(f"{n}_near") for n in names]
+    return estimated.join(exact, F.col("customer_id").eqNullSafe(F.col("_c"))).select(
+        "customer_id", *[f"{n}_exact" for n in names], *near)
+
+
 # ---------------------------------------------------------------- complete models
 
 for _model in ("stg_customers", "stg_accounts", "stg_loans", "stg_transactions", "int_accounts_enriched",

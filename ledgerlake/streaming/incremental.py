@@ -3,57 +3,71 @@
 The batch design keeps a bookmark table and extracts rows newer than it.  As
 a stream, the file source's checkpoint is that bookmark: each raw file is
 read exactly once.  Every micro-batch is reduced to its latest row per key
-and appended to a change log, together with one bookmark row (table, max
-timestamp, rows, run time) in the same layout as the batch watermark table.
-The current state of the table is the latest row per key over the whole
-log, read with the same ``keep_latest`` the staging models use.
-
-Replaying a micro-batch after a failure appends identical rows again; the
-total order of ``keep_latest`` collapses exact copies, so the state stays
-the same (the sink is idempotent without coordination).
+and becomes a partition of a catalog table of changes, with one bookmark row
+(table, max timestamp, rows, late rows, run time) in a table beside it.  The
+current state of the table is the latest row per key over all changes, read
+with the same ``keep_latest`` the staging models use.
+
+A micro-batch that is replayed after a failure replaces its own partitions, so
+nothing counts twice.  Late rows, whose time lies more than ``late_after``
+behind the newest time of earlier batches, are kept like all others (the state
+is decided by time, not by arrival) and counted.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..operators.dedup import keep_latest
-from ..operators.incremental import batch_watermark
+from ..operators.incremental import batch_watermark, ts_lit
+from ..plans.merge import replace_partitions
+from ..sources.sinks import write_table, written
 
 BATCH_COL = "_batch_id"
 
 
-def _paths(target_dir: str) -> tuple[str, str]:
-    return os.path.join(target_dir, "changes"), os.path.join(target_dir, "watermarks")
+def _tables(schema: str, table: str) -> tuple[str, str]:
+    return f"{schema}.{table}_changes", f"{schema}.{table}_marks"
+
+
+def _replace(df: DataFrame, target: str, batch_id: int) -> None:
+    """The batch's partition of ``target`` holds ``df`` afterwards; the first batch creates the table."""
+    df = df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+    if df.sparkSession.catalog.tableExists(target):
+        replace_partitions(df, target, [BATCH_COL])
+    else:
+        write_table(df, target, [BATCH_COL], as_table=True)
 
 
 def run_incremental_load(spark: SparkSession, source_dir: str, schema: StructType, table: str,
                          keys: Sequence[str], order_by: Sequence[str], ts_col: str,
-                         target_dir: str, checkpoint_dir: str,
-                         max_files_per_trigger: int = 256) -> None:
-    """Process every raw file not yet seen, then stop (``availableNow``)."""
-    changes, marks = _paths(target_dir)
+                         target: str, checkpoint_dir: str, max_files_per_trigger: int = 256,
+                         late_after: str = "0 seconds") -> None:
+    """Process every raw file not yet seen into the catalog schema ``target``, then stop (``availableNow``)."""
+    changes, marks = _tables(target, table)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # A micro-batch is bounded (maxFilesPerTrigger); keep it for its two
         # uses instead of reading the new files twice.  Lineage still covers
         # a lost executor.
+        session = batch.sparkSession
         batch.persist()
         try:
-            latest = keep_latest(batch, keys, order_by)
-            (latest.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-             .write.mode("append").partitionBy(BATCH_COL).parquet(changes))
+            newest = None
+            if session.catalog.tableExists(marks):
+                newest = session.table(marks).where(F.col(BATCH_COL) < batch_id).agg(F.max("last_watermark")).first()[0]
+            _replace(keep_latest(batch, keys, order_by), changes, batch_id)
             run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-            (batch_watermark(batch, table, ts_col, run_ts).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-             .write.mode("append").parquet(marks))
+            late = F.col(ts_col) < ts_lit(newest) - F.expr(f"INTERVAL {late_after}") if newest else F.lit(False)
+            counted = batch.agg(F.count_if(late).alias("late_rows"))
+            _replace(batch_watermark(batch, table, ts_col, run_ts).crossJoin(counted), marks, batch_id)
         finally:
             batch.unpersist()
 
@@ -63,61 +77,36 @@ def run_incremental_load(spark: SparkSession, source_dir: str, schema: StructTyp
     query.awaitTermination()
 
 
-def current_state(spark: SparkSession, target_dir: str, schema: StructType,
-                  keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The upserted table: latest row per key over the newest snapshot and the batches after it."""
-    changes, _ = _paths(target_dir)
-    with_batch = StructType(list(schema.fields) + [StructField(BATCH_COL, LongType())])
-    log = spark.read.schema(with_batch).parquet(changes)
-    done = _newest_snapshot(spark, target_dir)
-    if done is not None:
-        path, upto = done
-        snapshot = spark.read.schema(schema).parquet(path)
-        log = log.where(F.col(BATCH_COL) > upto)  # a partition column: older batches aren't read
-        return keep_latest(log.drop(BATCH_COL).unionByName(snapshot), keys, order_by)
-    return keep_latest(log.drop(BATCH_COL), keys, order_by)
-
-
-SNAPSHOT_SCHEMA = "path string, upto long"
+def current_state(spark: SparkSession, target: str, table: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The upserted table: latest row per key over all changes."""
+    changes, _ = _tables(target, table)
+    return keep_latest(spark.table(changes).drop(BATCH_COL), keys, order_by)
 
 
-def _newest_snapshot(spark: SparkSession, target_dir: str) -> tuple[str, int] | None:
-    """(path, last batch) of the snapshot that covers most batches; None without one."""
-    marks = os.path.join(target_dir, "snapshots", "marks")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(marks)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
-        return None
-    row = spark.read.schema(SNAPSHOT_SCHEMA).parquet(marks).agg(F.max(F.struct("upto", "path")).alias("m")).first()[0]
-    return (row["path"], row["upto"]) if row else None
+def compact(spark: SparkSession, target: str, table: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
+    """The newest batch's partition takes the whole current state, then the older partitions go.
 
-
-def compact(spark: SparkSession, target_dir: str, schema: StructType, keys: Sequence[str],
-            order_by: Sequence[str]) -> None:
-    """Writes the current state as a snapshot; later reads take it and only the batches after it.
-
-    The snapshot counts from its mark on, which is written last, so a failed
-    compaction changes nothing.  Run it between loads.
+    If it fails between, the older partitions only hold versions that the
+    state has already passed over, so every read gives the same rows.  Run it
+    between loads.
     """
-    changes, _ = _paths(target_dir)
-    upto = spark.read.schema(StructType([StructField(BATCH_COL, LongType())])).parquet(changes).agg(
-        F.max(BATCH_COL)).first()[0]
-    if upto is None:
+    changes, _ = _tables(target, table)
+    batches = sorted(r[0] for r in spark.table(changes).select(BATCH_COL).distinct().collect())  # one row a batch
+    if len(batches) < 2:
         return
-    path = os.path.join(target_dir, "snapshots", uuid.uuid4().hex)
-    current_state(spark, target_dir, schema, keys, order_by).write.parquet(path)
-    spark.range(1).select(F.lit(path).alias("path"), F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(
-        os.path.join(target_dir, "snapshots", "marks"))
-
-
-def watermarks(spark: SparkSession, target_dir: str) -> DataFrame:
-    """Bookmark per table: the latest batch's maximum timestamp and the rows loaded so far."""
-    _, marks = _paths(target_dir)
-    log = spark.read.parquet(marks)
-    # A replayed batch has marked itself more than once.
-    last = F.max_by(F.struct("last_watermark", "last_run_status", "rows_extracted", "last_run_date"), "last_run_date")
-    log = log.groupBy("table_name", BATCH_COL).agg(last.alias("m")).select("table_name", "m.*")
-    return log.groupBy("table_name").agg(
+    state = written(current_state(spark, target, table, keys, order_by), f"{table}-state")
+    _replace(state, changes, batches[-1])
+    for batch_id in batches[:-1]:
+        spark.sql(f"ALTER TABLE {changes} DROP IF EXISTS PARTITION ({BATCH_COL} = {batch_id})")
+    spark.catalog.refreshTable(changes)
+
+
+def watermarks(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """Bookmark of the table: the newest time, and the rows and late rows loaded so far."""
+    _, marks = _tables(target, table)
+    return spark.table(marks).groupBy("table_name").agg(
         F.max("last_watermark").alias("last_watermark"),
         F.max_by("last_run_status", "last_run_date").alias("last_run_status"),
         F.sum("rows_extracted").alias("rows_extracted"),
+        F.sum("late_rows").alias("late_rows"),
         F.max("last_run_date").alias("last_run_date"))
