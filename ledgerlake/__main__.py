@@ -55,6 +55,7 @@ def main(argv=None) -> int:
             p.add_argument("--accepted", action="store_true", help="check accepted values too")
         if name == "run":
             p.add_argument("--schema", default=None, help="write the marts as tables of this catalog schema")
+            p.add_argument("--buckets", type=int, default=None, help="with --schema: bucket the staged tables by their join keys")
             p.add_argument("--no-materialize-staging", action="store_true")
     args = ap.parse_args(argv)
 
@@ -66,7 +67,8 @@ def main(argv=None) -> int:
     cities = read_seed(spark, args.seed)
     if args.cmd == "run":
         marts = run_pipeline(spark, raw, cities, args.out, args.as_of,
-                             materialize_staging=not args.no_materialize_staging, schema=args.schema)
+                             materialize_staging=not args.no_materialize_staging, schema=args.schema,
+                             buckets=args.buckets)
         for name in marts:
             print(f"{name}: written to {f'{args.schema}.{name}' if args.schema else os.path.join(args.out, 'mart', name)}")
         return 0
