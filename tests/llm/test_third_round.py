@@ -215,3 +215,26 @@ def test_two_writers_of_the_cache(spark, docs_of, word_bpe, tmp_path):
     spark.createDataFrame(rows, token_counts.CACHE_SCHEMA).write.mode("append").parquet(cache)
     again = token_counts.count_tokens(docs, word_bpe, cache).collect()
     assert len(again) == 3 and {r["doc_id"]: r["n_tokens"] for r in again} == first
+
+
+# ---- op4: what crossover adds ----
+
+def test_islands_with_crossover_need_fewer_sequences(spark):
+    """Lengths that best fit can't pack well: islands with crossover need strictly fewer sequences."""
+    from ledgerlake.llm import packing
+    from ledgerlake.llm.common import materialize
+
+    rng = random.Random(4)
+    lengths = [rng.randint(300, 1100) for _ in range(600)]
+    pieces = materialize(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long"), "test-pieces")
+
+    def packed(**given):
+        out = packing.pack_pieces(pieces, packing.Settings(island_pieces=300, **given)).collect()
+        assert sorted(r["length"] for r in out) == sorted(lengths)
+        filled = Counter()
+        for r in out:
+            filled[r["sequence_id"]] += r["length"]
+        assert max(filled.values()) <= 2048
+        return len(filled)
+
+    assert packed(generations=120) < packed(generations=0, population=1)
