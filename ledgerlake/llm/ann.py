@@ -18,6 +18,8 @@ nor a bucket.  Vectors that are null, empty, zero or hold null or non-finite
 components take no part, as rows or as queries; rows with a null id neither.
 Vectors are compared with those of their own dimension.  Rows that repeat an
 id are candidates each if their vectors differ.  Ties go to the smaller id.
+An empty table gives no rows; there are no texts; other columns can have any
+name.
 """
 
 from __future__ import annotations

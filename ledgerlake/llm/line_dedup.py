@@ -9,7 +9,8 @@ splits it.
 
 A row is a document: rows that repeat a doc_id count as documents of their
 own.  Null and empty texts are one empty line; keys shorter than
-``min_chars`` are never dropped.  Rows are identified by doc_id and a hash
+``min_chars`` are never dropped.  Very long texts are split whole; an empty
+table gives no rows; other columns can have any name.  Rows are identified by doc_id and a hash
 of their text, so repeated ids (null ones too) keep their own lines.
 """
 

@@ -15,7 +15,10 @@ sequence per island.  The seeds are fixed and the pieces are a written table,
 so a recomputed island gives the same packing.
 
 A null or empty text is one piece holding the end token.  Every row is packed,
-repeated rows and null ids too.  Empty input gives an empty result.
+repeated rows and null ids too; very long texts are cut into pieces, none is
+lost.  Ties among pieces of equal length go by their numbers.  Empty input gives
+an empty result.  Only the id and the text are read, so other columns can have
+any name.
 """
 
 from __future__ import annotations

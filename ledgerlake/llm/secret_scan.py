@@ -12,8 +12,9 @@ short, are told from random strings by how often their characters change kind
 and, if they are letters of one case, by their vowels.
 
 Whole texts are scanned, in one pass without a shuffle.  Null texts count as
-empty and give no spans; repeated rows keep one result each; offsets are code
-points, ends exclusive.
+empty and give no spans; repeated rows and null ids keep one result each; an
+empty table gives no rows; offsets are code points, ends exclusive; spans that
+start together go in the order of the kinds.  Other columns can have any name.
 """
 
 from __future__ import annotations

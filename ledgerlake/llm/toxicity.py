@@ -17,7 +17,9 @@ size, so it can be shipped to every task; every text is then scored whole.
 Labels, language, source and id are never inputs of a score.  Null and empty
 texts have no terms and score the model's bias.  Rows with a null id or label
 are not trained on; repeated labels of an id count as toxic if any is.
-Without any labelled row every score is 0.
+Without any labelled row every score is 0; an empty table gives no rows.  Very
+long texts are scored whole.  Only id and text of the documents are read, so
+other columns can have any name.
 """
 
 from __future__ import annotations
