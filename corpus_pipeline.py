@@ -13,6 +13,13 @@ docs.  All but the last return the columns of documents:
                    times on average over its source
 5. best_fit        documents are cut and packed into sequences of at most
                    2048 tokens; one row per piece with its place
+
+Null and empty texts fail the quality rules, so later stages see none unless
+line dedup empties a text; each stage takes empty tables.  Rows with a null id
+are kept by near dedup.  Rows that repeat id and text are one document there,
+rows that repeat an id with another text are documents of their own.  The
+stages keep all columns of their input, whatever their names; ``_ll_`` and
+``_mx`` begin the internal ones.
 """
 
 from __future__ import annotations
