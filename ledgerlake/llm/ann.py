@@ -17,7 +17,10 @@ all that a result of ``k`` can show of them, so copies neither crowd a beam
 nor a bucket.  Vectors that are null, empty, zero or hold null or non-finite
 components take no part, as rows or as queries; rows with a null id neither.
 Vectors are compared with those of their own dimension.  Rows that repeat an
-id are candidates each if their vectors differ.  Ties go to the smaller id.
+id are candidates each if their vectors differ, and the id shows once, with
+the largest of their scores; a query id that repeats is answered once, each
+candidate with its largest score for any of the vectors.  Ties go to the
+smaller id.
 An empty table gives no rows; there are no texts; other columns can have any
 name.
 """
@@ -44,7 +47,7 @@ class Settings:
     entries: int = 32          # nodes that a walk starts from
     expand: int = 4            # nodes expanded at once by a walk
     batch: int = 512           # walks made together
-    query_block: int = 1024    # queries that meet a shard in one task
+    query_block: int = 8192    # queries that meet a shard in one task; a shard is sent once a block
     seed: int = 17
 
 
@@ -331,7 +334,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, settings: Settings
     found = at.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInPandas(
         _search_shard(s, k), "query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    ranked = found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", best.cast("int"))
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = once.withColumn("rank", best.cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
