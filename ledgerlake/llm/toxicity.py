@@ -8,11 +8,12 @@ insult and the mention of a group) can weigh more than their sum.
 Fitting uses a bounded, documented sample: of each label at most
 ``max_rows_per_label`` rows, chosen by a hash of their id, without those held
 out (crc32 of the id as text, modulo 4, is 2); the bias is then moved to the
-labels' shares among all rows that aren't held out.  Per-term document counts by
-label come from a distributed aggregate; the ``max_terms`` terms whose rates
-differ most between the labels (likelihood ratio) stay, and only these enter the machine, which
-keeps long texts of unknown words from drifting.  The model has a fixed
-size, so it can be shipped to every task; every text is then scored whole.
+labels' shares among all rows that aren't held out.  Documents are counted per
+term and label over all labelled rows that aren't held out, by a distributed
+aggregate; the ``max_terms`` terms whose rates differ most between the labels
+(likelihood ratio) stay, and only these enter the machine, which keeps long
+texts of unknown words from drifting.  The model has a fixed size, so it can
+be shipped to every task; every text is then scored whole.
 
 Labels, language, source and id are never inputs of a score.  Null and empty
 texts have no terms and score the model's bias.  Rows with a null id or label
@@ -31,6 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_rows, broadcast_row_limit
 from .common import materialize, pick
 
 STRIP = ".,;:!?\"'()[]{}<>|/\\-_*#&%$~`«»“”‘’…"
@@ -40,7 +42,7 @@ STRIP = ".,;:!?\"'()[]{}<>|/\\-_*#&%$~`«»“”‘’…"
 class Settings:
     max_rows_per_label: int = 4_000  # bound of the fitting sample
     max_terms: int = 4_096           # terms that enter the machine
-    min_rows: int = 4                # sampled rows a term must be in
+    min_rows: int = 4                # labelled rows a term must be in
     min_gain: float = 20.0           # likelihood ratio (G) of term and label from which a term is kept
     stem: int = 4                  # letters of a word's start that are a term of their own
     factors: int = 8
@@ -190,24 +192,34 @@ def _sample(known: DataFrame, s: Settings) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id") -> Model:
-    """Fits on the bounded sample; only per-term counts and the kept terms of its rows reach the driver."""
+    """Counts terms over all labelled rows, fits the machine on the bounded sample.
+
+    Only the kept terms and the sampled rows' lists of them reach the driver.
+    """
     s = settings
     known = pick(labels, doc_id=label_id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
-    sample = _sample(known, s)
-    rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id")  # 2 * max_rows_per_label
-    rows = materialize(rows.select("doc_id", "toxic", "text"), "toxicity-sample")
+    known = materialize(known, "toxicity-labels")
     spark = docs.sparkSession
-    found = rows.mapInArrow(_term_batches(s), f"doc_id {dict(rows.dtypes)['doc_id']}, toxic int, terms array<int>")
-    shares = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    texts = pick(docs, doc_id=id_col, text=text_col)
+
+    def terms_of(rows: DataFrame) -> DataFrame:
+        rows = rows.select("doc_id", "toxic", "text")
+        return rows.mapInArrow(_term_batches(s), f"doc_id {dict(rows.dtypes)['doc_id']}, toxic int, terms array<int>")
+
+    few = F.broadcast(known) if bounded_rows(known, broadcast_row_limit(known)) else known
+    labelled = texts.join(few, "doc_id")
+    rows = texts.join(F.broadcast(_sample(known, s)), "doc_id")  # 2 * max_rows_per_label
+    rows = materialize(rows.select("doc_id", "toxic", "text"), "toxicity-sample")
+    shares = {r[0]: r[1] for r in labelled.groupBy("toxic").count().collect()}
     totals = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 and not n0:
         return Model(s, np.zeros(0, np.int64), None)
-    by_term = found.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
+    by_term = terms_of(labelled).select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
         F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= s.min_rows)
-    share = n1 / (n1 + n0)
+    share = shares.get(1, 0) / sum(shares.values())
 
     def part(count: Column, expected: float) -> Column:
         return F.when(count > 0, 2.0 * count * F.log(count / (F.col("n") * expected))).otherwise(0.0)
@@ -218,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     buckets = np.array(sorted(kept), np.int64)
 
     chosen = F.broadcast(spark.createDataFrame([(int(b),) for b in kept], "term int"))
-    per_row = found.select("doc_id", "toxic", F.explode("terms").alias("term")).join(chosen, "term").groupBy(
+    per_row = terms_of(rows).select("doc_id", "toxic", F.explode("terms").alias("term")).join(chosen, "term").groupBy(
         "doc_id", "toxic").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     model = Model(s, buckets, FactorizationMachine(len(buckets), s))
     train = sorted(per_row.collect(), key=lambda r: (str(r["doc_id"]), r["toxic"]))

@@ -250,6 +250,24 @@ def test_nearest_small_is_exact(spark):
     assert ann.op7_nearest(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_show_their_largest_score(spark):
+    """An id with several vectors is one candidate, by the best of them; a repeated query id is answered once."""
+    rng = np.random.default_rng(5)
+    vectors = [(int(i), rng.integers(-9, 9, 6).astype(float).tolist()) for i in rng.integers(0, 40, 240)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    right = {}
+    for q, x in vectors:
+        for v, y in vectors:
+            if q % 20 == 0 and v != q:
+                score = float(np.dot(x, y))
+                right[q, v] = max(right.get((q, v), score), score)
+    ranked = {q: sorted(((-s, v) for (p, v), s in right.items() if p == q))[:20] for q in {p for p, _ in right}}
+    for s in (ann.Settings(), ann.Settings(shard_rows=40, query_block=2)):
+        out = ann.search(ann.build_index(df, 60, s), df.where("vec_id % 20 = 0"), 60, s).where("rank <= 20").collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out) == sorted(
+            (q, i + 1, v, -s) for q, near in ranked.items() for i, (s, v) in enumerate(near))
+
+
 def test_recall_over_shards(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 32))
@@ -289,13 +307,38 @@ def test_toxicity_learns_words_and_pairs(spark, docs_of):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), truth)).count() == 0
 
 
+def test_terms_are_counted_beyond_the_sample(spark, docs_of):
+    """A word rare among the sampled rows is kept by its count over all labelled rows; held-out rows count nothing."""
+    rng = random.Random(11)
+    data = [(i, " ".join(rng.choice("red blue green grey".split()) for _ in range(20))
+             + (" vermin" if i % 2 and i % 3 == 0 else "")) for i in range(1200)]
+    truth = spark.createDataFrame([(i, i % 2) for i, _ in data], "doc_id long, toxic int")
+    few = toxicity.Settings(max_rows_per_label=8)
+    held = {i for i, _ in data if zlib.crc32(str(i).encode()) % 4 == 2}
+    model = toxicity.fit(docs_of(data), truth, few)
+    assert set(model.buckets.tolist()) == set(toxicity.Terms(few)("vermin").tolist())
+    only_held = [(i, t if i in held else t.replace(" vermin", "")) for i, t in data]
+    assert not len(toxicity.fit(docs_of(only_held), truth, few).buckets)
+
+
+def test_machine_equals_the_explicit_sum(spark):
+    rng = np.random.default_rng(12)
+    machine = toxicity.FactorizationMachine(30, toxicity.Settings())
+    machine.w, machine.v, machine.bias = rng.normal(size=30), rng.normal(size=machine.v.shape), 0.3
+    rows = [np.sort(rng.choice(30, n, replace=False)) for n in (0, 1, 2, 7, 30)]
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    right = [0.3 + sum(machine.w[i] for i in r)
+             + sum(machine.v[i] @ machine.v[j] for i in r for j in r if i < j) for r in rows]
+    assert np.allclose(machine.margins(np.concatenate(rows).astype(int), starts), right)
+
+
 # ---- registered queries and the pipeline ----
 
 def test_queries_equal_their_sql(spark):
     from ledgerlake.llm import queries
 
     con, found = duck_connection(SF), queries.queries()
-    assert len([n for n in found if n.startswith("op")]) == 10
+    assert len([n for n in found if n.startswith("op")]) == 13
     for name, sql in queries.oracle_sql().items():
         result = compare(found[name](spark, SF), con, sql)
         assert result["values_match"] and not result["type_diffs"], (name, result)
