@@ -43,7 +43,9 @@ class Settings:
     max_rows_per_label: int = 4_000  # bound of the fitting sample
     max_terms: int = 4_096           # terms that enter the machine
     min_rows: int = 4                # labelled rows a term must be in
-    min_gain: float = 20.0           # likelihood ratio (G) of term and label from which a term is kept
+    min_gain: float = 20.0           # likelihood ratio (G) of term and label from which a term is kept, and the
+    gain_a_row: float = 0.0125       # same for each row of the rarer label: G grows with the rows, so that without
+                                     # this limit ever weaker terms would enter
     stem: int = 4                  # letters of a word's start that are a term of their own
     factors: int = 8
     epochs: int = 30
@@ -220,12 +222,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     by_term = terms_of(labelled).select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
         F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= s.min_rows)
     share = shares.get(1, 0) / sum(shares.values())
+    least = max(s.min_gain, s.gain_a_row * min(shares.get(1, 0), shares.get(0, 0)))
 
     def part(count: Column, expected: float) -> Column:
         return F.when(count > 0, 2.0 * count * F.log(count / (F.col("n") * expected))).otherwise(0.0)
 
     gain = F.lit(0.0) if share in (0.0, 1.0) else part(F.col("a"), share) + part(F.col("n") - F.col("a"), 1 - share)
-    ranked = by_term.withColumn("gain", gain).where(F.col("gain") >= s.min_gain)
+    ranked = by_term.withColumn("gain", gain).where(F.col("gain") >= least)
     kept = [r[0] for r in ranked.orderBy(F.desc("gain"), "term").limit(s.max_terms).select("term").collect()]
     buckets = np.array(sorted(kept), np.int64)
 
