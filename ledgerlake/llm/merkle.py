@@ -184,15 +184,16 @@ def op12_merkle_manifest(docs: DataFrame, settings: Settings = Settings()) -> Da
     """The manifest, its proofs, and the roots that follow after tampering.
 
     Where 5 divides the crc32 of the decimal id, the text's A-Z are
-    lower-cased; null ids and null texts are not tampered with.
+    lower-cased; null ids and null texts are not tampered with.  Every row's
+    root is folded from its leaf (the tampered one, else its own) and its
+    siblings, so ``verified`` is a proof of the untampered rows as well.
     """
     s = settings
     doc_id = F.col(f"`{s.id_col}`")
     tampered = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
     altered = leaf_of([ascii_lower(F.col(f"`{c}`")) if c == "text" else F.col(f"`{c}`") for c in s.columns])
     rows = manifest(docs, s, altered=F.when(tampered, altered))
-    rows = rows.withColumn("folded_root", F.when(F.col("altered").isNotNull(), fold(F.col("altered"), F.col("path")))
-                           .otherwise(F.col("root")))
+    rows = rows.withColumn("folded_root", fold(F.coalesce("altered", "leaf"), F.col("path")))
     return rows.select(
         doc_id.alias("doc_id"), "leaf", "subroot", "root", F.sha2(proof_of(F.col("path")), 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))

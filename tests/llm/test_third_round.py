@@ -180,6 +180,20 @@ def test_manifest(docs_of, levels):
     assert [(r["leaf"] == r["subroot"] == r["root"], r["path"]) for r in merkle.manifest(single).collect()] == [(True, [])]
 
 
+def test_untampered_roots_are_folded(docs_of, monkeypatch):
+    """A wrong sibling shows in every row, also where the text was left alone."""
+    docs = docs_of([(i, f"t{i}", "en", "a") for i in range(40)])
+    kept = merkle.manifest
+
+    def forged(*args, **carried):
+        wrong = F.transform("path", lambda run: F.struct(F.concat(run["left"], F.lit("0")).alias("left"), run["right"]))
+        return kept(*args, **carried).withColumn("path", wrong)
+
+    assert {r["verified"] for r in merkle.op12_merkle_manifest(docs).where("doc_id in (1, 2, 3)").collect()} == {True}
+    monkeypatch.setattr(merkle, "manifest", forged)
+    assert {r["verified"] for r in merkle.op12_merkle_manifest(docs).collect()} == {False}
+
+
 # ---- op13 ----
 
 @pytest.mark.parametrize("page, spare", [(64, 20), (4, 20), (4, 1000)])
