@@ -56,7 +56,7 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: s
     ends = versions.groupBy("_key", "_bucket").agg(F.max_by("_right", F.struct("_ts")).alias("_right"))
     asked = events.select("_key", "_bucket").distinct()
     earlier = Window.partitionBy("_key").orderBy(F.asc_nulls_first("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    marks = ends.unionByName(asked, allowMissingColumns=True).groupBy("_key", "_bucket").agg(F.max("_right").alias("_right"))
+    marks = ends.join(asked, ["_key", "_bucket"], "full_outer")  # both have a row per key and bucket
     carried = marks.withColumn("_right", F.last("_right", ignorenulls=True).over(earlier)).where("_right is not null")
     rows = (events.withColumn("_kind", F.lit(2)).unionByName(versions.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
             .unionByName(carried.withColumn("_kind", F.lit(0)), allowMissingColumns=True))

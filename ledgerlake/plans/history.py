@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_latest
 from ..operators.history import as_of, previous
+from ..sources.sinks import written
 from .staging import customer_columns
 
 #: What a version is judged by: a version that changes none of these is no new one.
@@ -43,6 +44,8 @@ def fct_customer_as_of(stg_transactions: DataFrame, stg_accounts: DataFrame, his
     accounts = stg_accounts.select(F.col("account_id").alias("_account"), "customer_id")
     facts = stg_transactions.select("transaction_id", "account_id", "transaction_date").join(
         accounts, F.col("account_id") == F.col("_account"), "left").drop("_account")
+    # Read twice by the lookup: staging and the join to the accounts run once.
+    facts = written(facts, "dated-facts")
     values = ("valid_from", "full_name", "customer_segment", "kyc_status", "address_region")
     found = as_of(facts, history.select("customer_id", *values), "customer_id", "transaction_date", "valid_from",
                   values, "customer", unit)

@@ -165,3 +165,15 @@ def test_previous_is_null_safe(spark):
                                "k long, t timestamp_ntz, v string")
     out = {(r["k"], r["v"]): r["p"] and r["p"]["v"] for r in previous(df, "k", "t", "v", "p").collect()}
     assert out == {(None, "a"): None, (None, None): "a", (1, "b"): None, (1, "c"): "b"}
+
+
+def test_lookup_reads_staged_facts_once(spark):
+    """The events are used twice; staging and its window aren't part of the lookup's plan."""
+    x = Inputs(spark, SF)
+    out = fct_customer_as_of(x.m["stg_transactions"], x.m["stg_accounts"], dim_customers_history(x.raw["customers"]))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "transaction_date" in plan and "lineitem" not in plan and "l_shipdate" not in plan
