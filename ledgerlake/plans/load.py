@@ -90,7 +90,7 @@ def load(spark: SparkSession, raw: dict[str, DataFrame], cities: DataFrame, sche
     options = dict(partition_by=MART_PARTITIONS["fct_transactions"], properties=MART_PROPERTIES["fct_transactions"], as_table=True)
     first_fct = fct if in_place else run_table(schema, "fct_transactions", run)
     if since is None:
-        write_table(models["fct_transactions"], first_fct, **options)
+        write_table(models.fct_of_raw(by_month=True), first_fct, placed=True, **options)
         new_dim = models["dim_customers"]
     else:
         if in_place:

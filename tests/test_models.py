@@ -187,3 +187,19 @@ def test_overseas_flag_after_title_case(spark):
                                      S.stg_transactions(tx), read_seed(spark))
     got = {r.transaction_id: r.is_overseas for r in it.collect()}
     assert got == {"0": False, "1": True, "2": False, "3": True, "4": True}
+
+
+def test_fact_is_placed_in_raw_columns(spark):
+    """The fact written by month has the same rows; what it derives is computed after the rebalance."""
+    x = Inputs(spark, SF)
+    placed = x.m.fct_of_raw(by_month=True)
+    assert placed.schema == x.m["fct_transactions"].schema
+    assert rows_set(placed) == rows_set(x.m["fct_transactions"]) == rows_set(x.m.fct_of_raw())
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        above, _, below = placed._jdf.queryExecution().optimizedPlan().toString().partition("RebalancePartitions")
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert below and "Rebalance" not in below
+    for derived in ("transaction_risk_level", "amount_band", "abs_amount", "is_debit", "transaction_hour"):
+        assert derived in above and derived not in below
