@@ -11,7 +11,7 @@ import pytest
 from ledgerlake.catalog import AS_OF, Inputs
 from ledgerlake.operators.history import as_of, previous
 from ledgerlake.plans.history import TRACKED, dim_customers_history, fct_customer_as_of
-from ledgerlake.plans.merge import dim_customers_incremental, merge_fct_transactions
+from ledgerlake.plans.merge import _latest_of, dim_customers_incremental, fct_transactions_incremental, merge_fct_transactions
 from ledgerlake.plans.pipeline import MART_PARTITIONS, Models
 from ledgerlake.sources.sinks import write_table
 from tests.test_load import CUT, NEW, OLD, SF, frame, rows, tx
@@ -177,3 +177,25 @@ def test_lookup_reads_staged_facts_once(spark):
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert "transaction_date" in plan and "lineitem" not in plan and "l_shipdate" not in plan
+
+
+def test_increment_with_null_ids(spark):
+    """A touched NULL id is found beside the others, and the raw rows are shuffled once for match and staging."""
+    x = Inputs(spark, SF)
+    customers = [dict(customer_id=1, first_name="A", last_name="1", last_modified_date=OLD)]
+    accounts = [dict(account_id=11, customer_id=1, account_type="SAVINGS", last_modified_date=OLD)]
+    old = [tx(None, 11, day(3), OLD), tx(1, 11, day(4), OLD), tx(2, None, day(4), OLD)]
+    before = raw_of(spark, x, customers, accounts, old)
+    after = raw_of(spark, x, customers, accounts, old + [tx(None, 11, day(5, 2), NEW), tx(2, 11, day(6), NEW)])
+    fct = Models(before, x.cities, AS_OF)["fct_transactions"]
+    found = fct_transactions_incremental(fct, after, x.cities, dict.fromkeys(after, CUT), AS_OF)
+    assert rows(found) == rows(Models(after, x.cities, AS_OF)["fct_transactions"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = after["transactions"].select("transaction_id").distinct().withColumnRenamed("transaction_id", "_id")
+        latest = _latest_of(after["transactions"], ids)
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(coalesce" not in plan and "hashpartitioning(transaction_id" in plan
+    assert latest.count() == 3
