@@ -210,6 +210,35 @@ def test_jaccard_join(docs_of, page, spare):
     assert jaccard_join.linked(docs.limit(0), s).count() == 0
 
 
+def test_jaccard_join_shuffles_no_texts_and_entries_once(docs_of, monkeypatch):
+    """With more classes than are broadcast: the plans of what is written, and the same links."""
+    rng = random.Random(8)
+    texts = near_copies(rng, 3, 8, [f"W{i}" for i in range(300)]) + ["a b c d e", None, ""]
+    data = list(enumerate(texts + texts[-5:])) + [(3, texts[3]), (4, texts[5]), (None, texts[3])]
+    plans, write = defaultdict(list), jaccard_join.materialize
+
+    def recorded(df, name):
+        plans[name].append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard_join, "materialize", recorded)
+    monkeypatch.setattr(jaccard_join, "broadcast_row_limit", lambda df: 3, raising=False)
+    monkeypatch.setattr(jaccard_join, "_small", lambda df: df)
+    monkeypatch.setattr(near_dedup, "broadcast_row_limit", lambda df: 3)
+    s = jaccard_join.Settings(words=4, percent=85, page=4, fan=3, groups=1 << 8, broadcast_pairs=3)
+    docs = docs_of(data)
+    docs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard_join.linked(docs, s).collect()
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in out) == brute_components(data, 4, 85)
+    below = plans["listed"][0].partition("MapInArrow")[2].partition("Scan")[0]  # from the texts' scan up to their listing
+    assert below and "Exchange" not in below
+    by_group = [p for texts in plans.values() for p in texts if re.search(r"Exchange hashpartitioning\(grp", p)]
+    assert len(by_group) == 2  # the entries, and the members of leaf groups
+
+
 # ---- repeats ----
 
 def test_keep_one_decides_by_text(docs_of):
